@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -10,36 +10,66 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import to_boolean, to_double, to_int
 from ..schema import (
-    EVENT_KEY, MEASUREMENTS, PAYLOAD_DDL, STAGING_COLUMNS, SWITCHES, TYRE_ARRAYS, WHEELS,
+    EVENT_KEY, MEASUREMENTS, MISTYPED, PAYLOAD_DDL, PAYLOAD_TEXT_DDL, STAGING_COLUMNS, SWITCHES,
+    TYRE_ARRAYS, WHEELS,
 )
 
 
-def _wheel(message: Column, array: str, index: int) -> Column:
-    return to_double(F.get(message[array], F.lit(index))).alias(f"{array}_{WHEELS[index]}")
+def payload_columns(message: Column, text: Column) -> list[Column]:
+    """Typed columns of one message.
 
+    ``message`` was parsed with its declared types. ``text`` is the same message parsed as
+    text; it is present only if some value had another type, and then decides all columns.
+    """
+    as_declared = message[MISTYPED].isNull()
+
+    def typed(name: str, convert: Callable[[Column], Column]) -> Column:
+        return F.when(as_declared, message[name]).otherwise(convert(text[name])).alias(name)
+
+    def key(name: str, data_type: str) -> Column:
+        # The event key takes no empty text: it fails under ANSI mode.
+        return typed(name, lambda value: value.cast(data_type))
+
+    def wheel(array: str, place: int) -> Column:
+        index = F.lit(place)
+        return (
+            F.when(as_declared, F.get(message[array], index))
+            .otherwise(to_double(F.get(text[array], index)))
+            .alias(f"{array}_{WHEELS[place]}")
+        )
 
-def payload_columns(message: Column) -> list[Column]:
-    """Typed columns of a parsed message. The event key takes no empty text."""
+    def numbers(values: Column) -> Column:
+        return F.transform(values, lambda value: value.try_cast("double"))
+
+    places = range(len(WHEELS))
     return [
         message["timestamp"].cast("timestamp").alias("timestamp"),
-        message["tick"].cast("int").alias("tick"),
-        *[to_double(message[name]).alias(name) for name in MEASUREMENTS],
-        to_int(message["gear"]).alias("gear"),
-        *[to_boolean(message[name]).alias(name) for name in SWITCHES],
+        key("tick", "int"),
+        *[typed(name, to_double) for name in MEASUREMENTS],
+        typed("gear", to_int),
+        *[typed(name, to_boolean) for name in SWITCHES],
         message["drive_state"].alias("drive_state"),
-        to_boolean(message["fault_active"]).alias("fault_active"),
+        typed("fault_active", to_boolean),
         message["fault_type"].alias("fault_type"),
-        *[message[name].alias(name) for name in TYRE_ARRAYS],
-        *[_wheel(message, "tyre_temp", i) for i in range(len(WHEELS))],
-        *[_wheel(message, "tyre_pressure", i) for i in range(len(WHEELS))],
+        *[typed(name, numbers) for name in TYRE_ARRAYS],
+        *[wheel("tyre_temp", place) for place in places],
+        *[wheel("tyre_pressure", place) for place in places],
     ]
 
 
 def parse_payload(rows: DataFrame, raw: str = "raw_data") -> DataFrame:
-    """Replace the raw message by its typed columns; one JSON parse per row."""
+    """Replace the raw message by its typed columns.
+
+    One JSON parse per row. Only a message with a value of another type, such as a quoted
+    number, is parsed again as text and cast value by value.
+    """
     kept = [name for name in rows.columns if name != raw]
-    parsed = rows.select(*kept, F.from_json(F.col(raw), PAYLOAD_DDL).alias("message"))
-    return parsed.select(*kept, *payload_columns(F.col("message")))
+    parsed = rows.select(
+        *kept, raw, F.from_json(raw, PAYLOAD_DDL, {"columnNameOfCorruptRecord": MISTYPED}).alias("message")
+    )
+    reparsed = F.when(F.col("message")[MISTYPED].isNotNull(), F.from_json(raw, PAYLOAD_TEXT_DDL))
+    both = parsed.select(*kept, "message", reparsed.alias("text"))
+    return both.select(*kept, *payload_columns(F.col("message"), F.col("text")))
 
 
 def latest_wins(rows: DataFrame, key: Sequence[str] = EVENT_KEY) -> DataFrame:

@@ -48,8 +48,19 @@ ALERT_COLUMNS = (
     *SUBSYSTEM_STATUS.values(), "min_tyre_pressure", "max_tyre_temp", "anomaly_count", "severity",
 )
 
-# Every scalar is read as text so that quoted numbers and empty strings survive the parse.
+# Column that takes the text of a message with a value of another type than declared.
+MISTYPED = "_mistyped"
 PAYLOAD_DDL = ", ".join(
+    ["timestamp STRING", "tick INT"]
+    + [f"{name} DOUBLE" for name in MEASUREMENTS]
+    + ["gear INT"]
+    + [f"{name} BOOLEAN" for name in (*SWITCHES, "fault_active")]
+    + ["drive_state STRING", "fault_type STRING"]
+    + [f"{name} ARRAY<DOUBLE>" for name in TYRE_ARRAYS]
+    + [f"{MISTYPED} STRING"]
+)
+# The same message with every scalar as text, so that quoted numbers and empty strings survive.
+PAYLOAD_TEXT_DDL = ", ".join(
     [f"{name} STRING" for name in PAYLOAD_TEXT] + [f"{name} ARRAY<STRING>" for name in TYRE_ARRAYS]
 )
 BRONZE_DDL = "id BIGINT, ingested_at TIMESTAMP, raw_data STRING"

@@ -71,13 +71,14 @@ def is_single_json(text: Column) -> Column:
 
     Spark's JSON functions ignore what follows the first value. Wrapped in braces and
     again in brackets, trailing text breaks at least one of the two: it cannot close
-    both wrappers early.
+    both wrappers early. Objects pass the first test, which skips over their content;
+    other values are decided by the second.
     """
-    braced = F.from_json(
-        F.concat(F.lit('{"v":'), text, F.lit("}")), "v STRING, _bad STRING", STRICT_JSON
-    )
-    bracketed = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    return F.coalesce(braced["_bad"].isNull() & (bracketed == 1), F.lit(False))
+    braced = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    bracketed = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    an_object = F.from_json(braced, "v STRUCT<_none: STRING>, _bad STRING", STRICT_JSON)["_bad"].isNull()
+    any_value = F.from_json(braced, "v STRING, _bad STRING", STRICT_JSON)["_bad"].isNull()
+    return F.coalesce(bracketed & (an_object | any_value), F.lit(False))
 
 
 def require_json(lines: DataFrame) -> DataFrame:
