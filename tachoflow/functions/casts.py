@@ -1,32 +1,41 @@
-"""Text to typed values, with the strictness of the payload contract."""
+"""Text to typed values, with the strictness of the payload contract.
 
-from __future__ import annotations
+Each function takes and returns SQL text, for use in ``selectExpr`` or ``expr``.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Spellings accepted for booleans besides those Spark takes itself.
 TRUE_WORDS = ("tr", "tru", "ye", "on")
 FALSE_WORDS = ("fa", "fal", "fals", "of", "off")
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def _words(words: tuple[str, ...]) -> str:
+    return ", ".join(f"'{word}'" for word in words)
+
 
+def blank_to_null(text: str) -> str:
+    return f"nullif({text}, '')"
 
-def to_double(text: Column) -> Column:
-    return blank_to_null(text).cast("double")
 
+def to_double(text: str) -> str:
+    return f"cast({blank_to_null(text)} as double)"
 
-def to_int(text: Column) -> Column:
-    return blank_to_null(text).cast("int")
 
+def to_int(text: str) -> str:
+    return f"cast({blank_to_null(text)} as int)"
 
-def to_boolean(text: Column) -> Column:
+
+def to_boolean(text: str) -> str:
     """True/false words in any case; anything else fails under ANSI mode."""
-    word = F.lower(F.trim(text))
+    word = f"lower(trim({text}))"
     return (
-        F.when(word.isin(*TRUE_WORDS), F.lit(True))
-        .when(word.isin(*FALSE_WORDS), F.lit(False))
-        .otherwise(blank_to_null(text).cast("boolean"))
+        f"case when {word} in ({_words(TRUE_WORDS)}) then true "
+        f"when {word} in ({_words(FALSE_WORDS)}) then false "
+        f"else cast({blank_to_null(text)} as boolean) end"
     )
+
+
+def to_doubles(texts: str) -> str:
+    """An array of texts; what is not a number becomes NULL."""
+    return f"transform({texts}, value -> try_cast(value as double))"

@@ -9,7 +9,6 @@ the fact feed all gold tables.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, guarded_ratio, round_half_up, share_percent
@@ -26,123 +25,121 @@ LOWEST = ("odometer_km", "fuel_level")
 HIGHEST = ("odometer_km", "trip_km", "speed_kmh", "engine_temp")
 
 
-def _flags() -> dict[str, Column]:
-    """Conditions whose events are counted."""
-    flags = {
-        "normal": F.col("vehicle_health") == NORMAL,
-        "warning": F.col("vehicle_health") == WARNING,
-        "critical": F.col("vehicle_health") == CRITICAL,
-        "failing": F.col("vehicle_health") != NORMAL,
-        "anomalous": F.col("anomaly_count") > 0,
-        "ready": F.col("ready_for_trip"),
-        "not_ready": ~F.col("ready_for_trip"),
-        # The load category is 'HIGH_LOAD', so this share is 0; published as defined.
-        "high_load": F.col("engine_load") == "HIGH",
-    }
-    for status in SUBSYSTEM_STATUS.values():
-        flags[f"{status}_normal"] = F.col(status) == NORMAL
-        flags[f"{status}_warning"] = F.col(status) == WARNING
-        flags[f"{status}_critical"] = F.col(status) == CRITICAL
-        flags[f"{status}_failing"] = F.col(status) != NORMAL
-    return flags
+# Conditions whose events are counted. The load category is 'HIGH_LOAD', so the share of
+# 'HIGH' is 0; it is published as defined.
+FLAGS = {
+    "normal": f"vehicle_health = '{NORMAL}'",
+    "warning": f"vehicle_health = '{WARNING}'",
+    "critical": f"vehicle_health = '{CRITICAL}'",
+    "failing": f"vehicle_health <> '{NORMAL}'",
+    "anomalous": "anomaly_count > 0",
+    "ready": "ready_for_trip",
+    "not_ready": "not ready_for_trip",
+    "high_load": "engine_load = 'HIGH'",
+}
+for _status in SUBSYSTEM_STATUS.values():
+    FLAGS[f"{_status}_normal"] = f"{_status} = '{NORMAL}'"
+    FLAGS[f"{_status}_warning"] = f"{_status} = '{WARNING}'"
+    FLAGS[f"{_status}_critical"] = f"{_status} = '{CRITICAL}'"
+    FLAGS[f"{_status}_failing"] = f"{_status} <> '{NORMAL}'"
 
 
 class FactMeasures:
-    """Aggregates over fact rows."""
+    """SQL of aggregates over fact rows."""
 
-    def events(self) -> Column:
-        return F.count(F.lit(1))
+    events = "count(1)"
 
-    def flagged(self, name: str) -> Column:
-        return F.sum(F.when(_flags()[name], 1).otherwise(0))
+    def flagged(self, name: str) -> str:
+        return f"sum(case when {FLAGS[name]} then 1 else 0 end)"
 
-    def total(self, name: str) -> Column:
-        return F.sum(name)
+    def total(self, name: str) -> str:
+        return f"sum({name})"
 
-    def known(self, name: str) -> Column:
-        return F.count(name)
+    def known(self, name: str) -> str:
+        return f"count({name})"
 
-    def mean(self, name: str) -> Column:
-        return F.avg(name)
+    def mean(self, name: str) -> str:
+        return f"avg({name})"
 
-    def lowest(self, name: str) -> Column:
-        return F.min(name)
+    def lowest(self, name: str) -> str:
+        return f"min({name})"
 
-    def highest(self, name: str) -> Column:
-        return F.max(name)
+    def highest(self, name: str) -> str:
+        return f"max({name})"
 
 
 class RollupMeasures:
     """The same aggregates over rollup rows."""
 
-    def events(self) -> Column:
-        return F.coalesce(F.sum("events"), F.lit(0))
+    events = "coalesce(sum(events), 0)"
+
+    def flagged(self, name: str) -> str:
+        return f"sum({name}_events)"
+
+    def total(self, name: str) -> str:
+        return f"sum({name}_sum)"
 
-    def flagged(self, name: str) -> Column:
-        return F.sum(f"{name}_events")
+    def known(self, name: str) -> str:
+        return f"sum({name}_known)"
 
-    def total(self, name: str) -> Column:
-        return F.sum(f"{name}_sum")
+    def mean(self, name: str) -> str:
+        return guarded_ratio(self.total(name), self.known(name))
 
-    def known(self, name: str) -> Column:
-        return F.sum(f"{name}_known")
+    def lowest(self, name: str) -> str:
+        return f"min({name}_min)"
 
-    def mean(self, name: str) -> Column:
-        return self.total(name) / F.nullif(self.known(name), F.lit(0))
+    def highest(self, name: str) -> str:
+        return f"max({name}_max)"
 
-    def lowest(self, name: str) -> Column:
-        return F.min(f"{name}_min")
 
-    def highest(self, name: str) -> Column:
-        return F.max(f"{name}_max")
+def _columns(definitions: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in definitions.items()]
 
 
 def rollup_fact(fact: DataFrame) -> DataFrame:
     """Mergeable measures per category; partial sums in each task, then a small shuffle."""
-    rows = FactMeasures()
-    measures = [rows.events().alias("events")]
-    measures += [rows.flagged(name).alias(f"{name}_events") for name in _flags()]
+    m = FactMeasures()
+    measures = {"events": m.events}
+    measures |= {f"{flag}_events": m.flagged(flag) for flag in FLAGS}
     for name in (*AVERAGED, "anomaly_count"):
-        measures += [rows.total(name).alias(f"{name}_sum"), rows.known(name).alias(f"{name}_known")]
-    measures += [rows.lowest(name).alias(f"{name}_min") for name in LOWEST]
-    measures += [rows.highest(name).alias(f"{name}_max") for name in HIGHEST]
-    return fact.groupBy(*ROLLUP_KEYS).agg(*measures)
+        measures |= {f"{name}_sum": m.total(name), f"{name}_known": m.known(name)}
+    measures |= {f"{name}_min": m.lowest(name) for name in LOWEST}
+    measures |= {f"{name}_max": m.highest(name) for name in HIGHEST}
+    return fact.groupBy(*ROLLUP_KEYS).agg(*_columns(measures))
 
 
 def _measures_of(source: DataFrame) -> FactMeasures | RollupMeasures:
     return RollupMeasures() if "anomaly_count_sum" in source.columns else FactMeasures()
 
 
-def _mean(m, source: str, alias: str | None = None, places: int = 2) -> Column:
-    return round_half_up(m.mean(source), places).alias(alias or f"avg_{source}")
+def _means(m, *names: str) -> dict[str, str]:
+    return {f"avg_{name}": round_half_up(m.mean(name)) for name in names}
 
 
-def _mean_anomalies(m) -> Column:
-    return exact_mean(m.total("anomaly_count"), m.known("anomaly_count")).alias("avg_anomaly_count")
+def _mean_anomalies(m) -> str:
+    return exact_mean(m.total("anomaly_count"), m.known("anomaly_count"))
 
 
-def _share(m, flag: str, alias: str) -> Column:
-    return share_percent(m.flagged(flag), m.events()).alias(alias)
+def _share(m, flag: str) -> str:
+    return share_percent(m.flagged(flag), m.events)
 
 
-def _health_events(m) -> list[Column]:
-    return [m.flagged(flag).alias(f"{flag}_events") for flag in ("normal", "warning", "critical")]
+def _health_events(m) -> dict[str, str]:
+    return {f"{flag}_events": m.flagged(flag) for flag in ("normal", "warning", "critical")}
 
 
-def _span(m) -> Column:
-    return m.highest("odometer_km") - m.lowest("odometer_km")
+def _span(m) -> str:
+    return f"({m.highest('odometer_km')} - {m.lowest('odometer_km')})"
 
 
-def _fuel(m) -> Column:
+def _fuel(m) -> str:
     return m.total("fuel_consumed_this_tick")
 
 
 def _in_order(name: str, values: tuple[str, ...]) -> Column:
     """Sort key for a fixed order of categories; anything else comes last."""
-    place = F
-    for index, value in enumerate(values):
-        place = place.when(F.col(name) == value, index)
-    return place.asc_nulls_last()
+    listed = ", ".join(f"'{value}'" for value in values)
+    return F.expr(f"nullif(array_position(array({listed}), {name}), 0)").asc_nulls_last()
 
 
 def fct_vehicle_telemetry(silver: DataFrame) -> DataFrame:
@@ -169,43 +166,45 @@ def dim_speed_bucket(source: DataFrame) -> DataFrame:
 def agg_vehicle_health(source: DataFrame) -> DataFrame:
     """KPIs per overall health, with the share of all events."""
     m = _measures_of(source)
-    grouped = source.groupBy("vehicle_health").agg(
-        m.events().alias("telemetry_events"),
-        _share(m, "anomalous", "anomaly_rate"),
-        m.flagged("ready").alias("ready_trip_events"),
-        m.flagged("not_ready").alias("not_ready_trip_events"),
-        _mean(m, "speed_kmh"),
-        _mean(m, "rpm"),
-        _mean(m, "engine_temp"),
-        round_half_up(m.highest("engine_temp")).alias("max_engine_temp"),
-        _mean(m, "thermal_delta"),
-        _mean(m, "oil_pressure"),
-        _mean(m, "oil_temp"),
-        _mean(m, "battery_voltage"),
-        _mean(m, "fuel_level"),
-        round_half_up(_fuel(m)).alias("total_fuel_consumed"),
-        _mean(m, "avg_tyre_pressure", "avg_tyre_pressure"),
-        _mean(m, "avg_tyre_temp", "avg_tyre_temperature"),
-        _mean(m, "tyre_pressure_imbalance", "avg_tyre_pressure_imbalance"),
-        _mean(m, "tyre_temp_imbalance", "avg_tyre_temperature_imbalance"),
-        _mean_anomalies(m),
-    )
+    kpis = {
+        "telemetry_events": m.events,
+        "anomaly_rate": _share(m, "anomalous"),
+        "ready_trip_events": m.flagged("ready"),
+        "not_ready_trip_events": m.flagged("not_ready"),
+        **_means(m, "speed_kmh", "rpm", "engine_temp"),
+        "max_engine_temp": round_half_up(m.highest("engine_temp")),
+        **_means(m, "thermal_delta", "oil_pressure", "oil_temp", "battery_voltage", "fuel_level"),
+        "total_fuel_consumed": round_half_up(_fuel(m)),
+        "avg_tyre_pressure": round_half_up(m.mean("avg_tyre_pressure")),
+        "avg_tyre_temperature": round_half_up(m.mean("avg_tyre_temp")),
+        "avg_tyre_pressure_imbalance": round_half_up(m.mean("tyre_pressure_imbalance")),
+        "avg_tyre_temperature_imbalance": round_half_up(m.mean("tyre_temp_imbalance")),
+        "avg_anomaly_count": _mean_anomalies(m),
+    }
+    grouped = source.groupBy("vehicle_health").agg(*_columns(kpis))
     # One row per health category is left, so the window over all of them is tiny.
-    everything = F.sum("telemetry_events").over(Window.partitionBy())
-    share = share_percent(F.col("telemetry_events"), everything).alias("percentage")
+    share = share_percent("telemetry_events", "sum(telemetry_events) over ()")
     first, second, *others = grouped.columns
-    return grouped.select(first, second, share, *others).orderBy(
+    return grouped.selectExpr(first, second, f"{share} as percentage", *others).orderBy(
         _in_order("vehicle_health", HEALTH_ORDER)
     )
 
 
+def _inline_rows(rows: list[dict[str, str]]) -> str:
+    """SQL that turns one row into several, each with the given columns."""
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in row.items()) + ")" for row in rows
+    ]
+    return f"inline(array({', '.join(structs)}))"
+
+
 def unpivot_subsystems(fact: DataFrame) -> DataFrame:
     """One row per event and subsystem: its name and status. One scan, no shuffle."""
-    pairs = [
-        F.struct(F.lit(name).alias("subsystem"), F.col(status).alias("status"))
-        for name, status in SUBSYSTEM_STATUS.items()
-    ]
-    return fact.select(F.inline(F.array(*pairs)))
+    return fact.selectExpr(
+        _inline_rows(
+            [{"subsystem": f"'{name}'", "status": status} for name, status in SUBSYSTEM_STATUS.items()]
+        )
+    )
 
 
 def agg_subsystem_health(source: DataFrame) -> DataFrame:
@@ -216,36 +215,30 @@ def agg_subsystem_health(source: DataFrame) -> DataFrame:
     """
     m = _measures_of(source)
     levels = ("normal", "warning", "critical", "failing")
-    counts = source.agg(
-        m.events().alias("total_events"),
-        *[
-            m.flagged(f"{status}_{level}").alias(f"{status}_{level}")
-            for status in SUBSYSTEM_STATUS.values()
-            for level in levels
-        ],
-    ).where("total_events > 0")
+    counts = {"total_events": m.events}
+    for status in SUBSYSTEM_STATUS.values():
+        counts |= {f"{status}_{level}": m.flagged(f"{status}_{level}") for level in levels}
     per_subsystem = [
-        F.struct(
-            F.lit(name).alias("subsystem"),
-            *[F.col(f"{status}_{level}").alias(f"{level}_events") for level in levels],
-        )
+        {"subsystem": f"'{name}'", **{f"{level}_events": f"{status}_{level}" for level in levels}}
         for name, status in SUBSYSTEM_STATUS.items()
     ]
-    tall = counts.select("total_events", F.inline(F.array(*per_subsystem)))
-
-    def rate(level: str) -> Column:
-        return share_percent(F.col(f"{level}_events"), F.col("total_events"))
-
-    return tall.select(
+    tall = (
+        source.agg(*_columns(counts))
+        .where("total_events > 0")
+        .selectExpr("total_events", _inline_rows(per_subsystem))
+    )
+    rates = {
+        f"{alias}_rate": share_percent(f"{level}_events", "total_events")
+        for alias, level in (("overall_failure", "failing"), ("warning", "warning"), ("critical", "critical"))
+    }
+    return tall.selectExpr(
         "subsystem",
         "total_events",
         "normal_events",
         "warning_events",
         "critical_events",
-        rate("failing").alias("overall_failure_rate"),
-        rate("warning").alias("warning_rate"),
-        rate("critical").alias("critical_rate"),
-        (F.col("warning_events") + 2 * F.col("critical_events")).alias("severity_score"),
+        *[f"{sql} as {name}" for name, sql in rates.items()],
+        "warning_events + 2 * critical_events as severity_score",
     ).orderBy(
         *[F.desc_nulls_first(c) for c in ("critical_rate", "severity_score", "overall_failure_rate")]
     )
@@ -255,47 +248,42 @@ def agg_driving_behavior(source: DataFrame) -> DataFrame:
     """Operating conditions and health per speed category, drive state and engine load."""
     m = _measures_of(source)
     keys = ("speed_bucket", "drive_state", "engine_load")
+    kpis = {
+        "total_events": m.events,
+        **_means(m, "speed_kmh", "rpm", "engine_temp", "thermal_delta", "fuel_level"),
+        "total_fuel_consumed": round_half_up(_fuel(m)),
+        "avg_anomaly_count": _mean_anomalies(m),
+        **_health_events(m),
+        "failure_rate": _share(m, "failing"),
+        "ready_trip_rate": _share(m, "ready"),
+    }
     return (
-        source.groupBy(*keys)
-        .agg(
-            m.events().alias("total_events"),
-            _mean(m, "speed_kmh"),
-            _mean(m, "rpm"),
-            _mean(m, "engine_temp"),
-            _mean(m, "thermal_delta"),
-            _mean(m, "fuel_level"),
-            round_half_up(_fuel(m)).alias("total_fuel_consumed"),
-            _mean_anomalies(m),
-            *_health_events(m),
-            _share(m, "failing", "failure_rate"),
-            _share(m, "ready", "ready_trip_rate"),
-        )
-        .orderBy(*[F.asc_nulls_last(key) for key in keys])
+        source.groupBy(*keys).agg(*_columns(kpis)).orderBy(*[F.asc_nulls_last(key) for key in keys])
     )
 
 
 def agg_efficiency(source: DataFrame) -> DataFrame:
     """Fuel use and distance per speed category. Distance is the odometer span."""
     m = _measures_of(source)
+    kpis = {
+        "total_events": m.events,
+        "distance_travelled_km": round_half_up(_span(m)),
+        "trip_distance_km": round_half_up(m.highest("trip_km")),
+        "total_fuel_consumed_l": round_half_up(_fuel(m)),
+        "avg_fuel_per_event_l": round_half_up(m.mean("fuel_consumed_this_tick"), 4),
+        "km_per_litre": round_half_up(guarded_ratio(_span(m), _fuel(m))),
+        "avg_trip_distance_km": round_half_up(m.mean("trip_km")),
+        "avg_speed_kmh": round_half_up(m.mean("speed_kmh")),
+        "max_speed_kmh": round_half_up(m.highest("speed_kmh")),
+        **_means(m, "rpm", "fuel_level"),
+        "min_fuel_level": round_half_up(m.lowest("fuel_level")),
+        "litres_per_km": round_half_up(guarded_ratio(_fuel(m), _span(m)), 3),
+        "avg_throttle": round_half_up(m.mean("throttle")),
+        "high_engine_load_percentage": _share(m, "high_load"),
+    }
     return (
         source.groupBy("speed_bucket")
-        .agg(
-            m.events().alias("total_events"),
-            round_half_up(_span(m)).alias("distance_travelled_km"),
-            round_half_up(m.highest("trip_km")).alias("trip_distance_km"),
-            round_half_up(_fuel(m)).alias("total_fuel_consumed_l"),
-            _mean(m, "fuel_consumed_this_tick", "avg_fuel_per_event_l", places=4),
-            round_half_up(guarded_ratio(_span(m), _fuel(m))).alias("km_per_litre"),
-            _mean(m, "trip_km", "avg_trip_distance_km"),
-            _mean(m, "speed_kmh"),
-            round_half_up(m.highest("speed_kmh")).alias("max_speed_kmh"),
-            _mean(m, "rpm"),
-            _mean(m, "fuel_level"),
-            round_half_up(m.lowest("fuel_level")).alias("min_fuel_level"),
-            round_half_up(guarded_ratio(_fuel(m), _span(m)), 3).alias("litres_per_km"),
-            _mean(m, "throttle"),
-            _share(m, "high_load", "high_engine_load_percentage"),
-        )
+        .agg(*_columns(kpis))
         .orderBy(_in_order("speed_bucket", SPEED_ORDER))
     )
 
@@ -303,25 +291,22 @@ def agg_efficiency(source: DataFrame) -> DataFrame:
 def agg_trip_summary(source: DataFrame) -> DataFrame:
     """One row over everything; with no events, zero events and NULL elsewhere."""
     m = _measures_of(source)
-    return source.agg(
-        round_half_up(_span(m)).alias("total_distance_km"),
-        round_half_up(m.highest("trip_km")).alias("trip_distance_km"),
-        round_half_up(_fuel(m)).alias("total_fuel_consumed_l"),
-        round_half_up(guarded_ratio(_span(m), _fuel(m))).alias("km_per_litre"),
-        _mean(m, "speed_kmh"),
-        round_half_up(m.highest("speed_kmh")).alias("max_speed_kmh"),
-        _mean(m, "rpm"),
-        _mean(m, "throttle"),
-        _mean(m, "engine_temp"),
-        round_half_up(m.highest("engine_temp")).alias("max_engine_temp"),
-        _mean(m, "oil_temp"),
-        _mean(m, "battery_voltage"),
-        _mean(m, "fuel_level"),
-        round_half_up(m.lowest("fuel_level")).alias("min_fuel_level"),
-        _mean(m, "avg_tyre_pressure", "avg_tyre_pressure"),
-        _mean(m, "avg_tyre_temp", "avg_tyre_temp"),
-        m.events().alias("telemetry_events"),
-        _mean_anomalies(m),
-        *_health_events(m),
-        _share(m, "ready", "ready_trip_rate"),
-    )
+    kpis = {
+        "total_distance_km": round_half_up(_span(m)),
+        "trip_distance_km": round_half_up(m.highest("trip_km")),
+        "total_fuel_consumed_l": round_half_up(_fuel(m)),
+        "km_per_litre": round_half_up(guarded_ratio(_span(m), _fuel(m))),
+        "avg_speed_kmh": round_half_up(m.mean("speed_kmh")),
+        "max_speed_kmh": round_half_up(m.highest("speed_kmh")),
+        **_means(m, "rpm", "throttle", "engine_temp"),
+        "max_engine_temp": round_half_up(m.highest("engine_temp")),
+        **_means(m, "oil_temp", "battery_voltage", "fuel_level"),
+        "min_fuel_level": round_half_up(m.lowest("fuel_level")),
+        "avg_tyre_pressure": round_half_up(m.mean("avg_tyre_pressure")),
+        "avg_tyre_temp": round_half_up(m.mean("avg_tyre_temp")),
+        "telemetry_events": m.events,
+        "avg_anomaly_count": _mean_anomalies(m),
+        **_health_events(m),
+        "ready_trip_rate": _share(m, "ready"),
+    }
+    return source.agg(*_columns(kpis))

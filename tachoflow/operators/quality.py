@@ -127,8 +127,8 @@ def drive_state_distribution(fact: DataFrame) -> DataFrame:
     """
     counts = fact.groupBy("drive_state").agg(F.count(F.lit(1)).alias("events"))
     total = fact.agg(F.count(F.lit(1))).scalar()
-    return counts.select(
-        "drive_state", "events", share_percent(F.col("events"), total).alias("percentage")
+    return counts.withColumn("total", total).selectExpr(
+        "drive_state", "events", f"{share_percent('events', 'total')} as percentage"
     )
 
 
@@ -136,24 +136,17 @@ def sensor_statistics(readings: DataFrame, sensors: Sequence[str] | None = None)
     """Count, extremes, mean and deviation per sensor, from one pass and one row of totals."""
     sensors = [s for s in (sensors or MEASUREMENTS) if s in readings.columns]
     measures = {
-        "readings": F.count,
-        "min_value": F.min,
-        "max_value": F.max,
-        "mean_value": F.avg,
-        "stddev_value": F.stddev_samp,
+        "readings": "count({0})",
+        "min_value": "min({0})",
+        "max_value": "max({0})",
+        "mean_value": round_half_up("avg({0})", 4),
+        "stddev_value": round_half_up("stddev_samp({0})", 4),
     }
     totals = readings.agg(
-        *[fn(s).alias(f"{s}__{m}") for s in sensors for m, fn in measures.items()]
+        *[F.expr(sql.format(s)).alias(f"{s}__{m}") for s in sensors for m, sql in measures.items()]
     )
     rows = [
-        F.struct(
-            F.lit(s).alias("sensor"), *[F.col(f"{s}__{m}").alias(m) for m in measures]
-        )
+        "named_struct(" + ", ".join([f"'sensor', '{s}'"] + [f"'{m}', {s}__{m}" for m in measures]) + ")"
         for s in sensors
     ]
-    tall = totals.select(F.inline(F.array(*rows)))
-    return tall.select(
-        "sensor", "readings", "min_value", "max_value",
-        round_half_up(F.col("mean_value"), 4).alias("mean_value"),
-        round_half_up(F.col("stddev_value"), 4).alias("stddev_value"),
-    )
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")

@@ -4,54 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.casts import to_boolean, to_double, to_int
+from ..functions.casts import to_boolean, to_double, to_doubles, to_int
 from ..schema import (
     EVENT_KEY, MEASUREMENTS, MISTYPED, PAYLOAD_DDL, PAYLOAD_TEXT_DDL, STAGING_COLUMNS, SWITCHES,
     TYRE_ARRAYS, WHEELS,
 )
 
 
-def payload_columns(message: Column, text: Column) -> list[Column]:
-    """Typed columns of one message.
+def payload_columns(message: str = "message", text: str = "text") -> list[str]:
+    """Typed columns of one message, as SQL.
 
     ``message`` was parsed with its declared types. ``text`` is the same message parsed as
     text; it is present only if some value had another type, and then decides all columns.
     """
-    as_declared = message[MISTYPED].isNull()
 
-    def typed(name: str, convert: Callable[[Column], Column]) -> Column:
-        return F.when(as_declared, message[name]).otherwise(convert(text[name])).alias(name)
+    def choose(name: str, declared: str, converted: str) -> str:
+        return f"if({message}.{MISTYPED} is null, {declared}, {converted}) as {name}"
 
-    def key(name: str, data_type: str) -> Column:
-        # The event key takes no empty text: it fails under ANSI mode.
-        return typed(name, lambda value: value.cast(data_type))
-
-    def wheel(array: str, place: int) -> Column:
-        index = F.lit(place)
-        return (
-            F.when(as_declared, F.get(message[array], index))
-            .otherwise(to_double(F.get(text[array], index)))
-            .alias(f"{array}_{WHEELS[place]}")
-        )
+    def typed(name: str, convert: Callable[[str], str]) -> str:
+        return choose(name, f"{message}.{name}", convert(f"{text}.{name}"))
 
-    def numbers(values: Column) -> Column:
-        return F.transform(values, lambda value: value.try_cast("double"))
+    def wheel(array: str, place: int) -> str:
+        declared, converted = (f"get({source}.{array}, {place})" for source in (message, text))
+        return choose(f"{array}_{WHEELS[place]}", declared, to_double(converted))
 
     places = range(len(WHEELS))
     return [
-        message["timestamp"].cast("timestamp").alias("timestamp"),
-        key("tick", "int"),
+        # The event key takes no empty text: it fails under ANSI mode.
+        f"cast({message}.timestamp as timestamp) as timestamp",
+        choose("tick", f"{message}.tick", f"cast({text}.tick as int)"),
         *[typed(name, to_double) for name in MEASUREMENTS],
         typed("gear", to_int),
         *[typed(name, to_boolean) for name in SWITCHES],
-        message["drive_state"].alias("drive_state"),
+        f"{message}.drive_state as drive_state",
         typed("fault_active", to_boolean),
-        message["fault_type"].alias("fault_type"),
-        *[typed(name, numbers) for name in TYRE_ARRAYS],
+        f"{message}.fault_type as fault_type",
+        *[typed(name, to_doubles) for name in TYRE_ARRAYS],
         *[wheel("tyre_temp", place) for place in places],
         *[wheel("tyre_pressure", place) for place in places],
     ]
@@ -69,7 +61,7 @@ def parse_payload(rows: DataFrame, raw: str = "raw_data") -> DataFrame:
     )
     reparsed = F.when(F.col("message")[MISTYPED].isNotNull(), F.from_json(raw, PAYLOAD_TEXT_DDL))
     both = parsed.select(*kept, "message", reparsed.alias("text"))
-    return both.select(*kept, *payload_columns(F.col("message"), F.col("text")))
+    return both.selectExpr(*kept, *payload_columns())
 
 
 def latest_wins(rows: DataFrame, key: Sequence[str] = EVENT_KEY) -> DataFrame:

@@ -14,6 +14,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording the Python line of every column costs several driver calls per column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
