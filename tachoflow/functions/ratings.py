@@ -40,10 +40,6 @@ def _any(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def _band(value: Column, bands: Sequence[tuple[float, str]], top: str) -> Column:
     chain = F
     for limit, label in bands:
@@ -80,9 +76,13 @@ def gear_group(gear: Column) -> Column:
     )
 
 
+# One of four wheels. Exact, so multiplying equals dividing by four.
+WHEEL_SHARE = 0.25
+
+
 def wheel_mean(wheels: Sequence[Column]) -> Column:
     """Mean of the four wheels; NULL as soon as one is missing."""
-    return reduce(lambda a, b: a + b, wheels) / float(len(wheels))
+    return reduce(lambda a, b: a + b, wheels) * WHEEL_SHARE
 
 
 def wheel_spread(wheels: Sequence[Column]) -> Column:
@@ -132,10 +132,11 @@ def anomaly_count(statuses: Sequence[Column]) -> Column:
 def vehicle_health(statuses: Sequence[Column], anomalies: Column) -> Column:
     critical_from, warning_from = ANOMALIES_FROM
     return _rating(
-        [*[s == CRITICAL for s in statuses], anomalies >= critical_from],
+        [F.lit(CRITICAL).isin(*statuses), anomalies >= critical_from],
         [anomalies >= warning_from],
     )
 
 
-def ready_for_trip(statuses: Sequence[Column]) -> Column:
-    return F.coalesce(_all([s == NORMAL for s in statuses]), F.lit(False))
+def ready_for_trip(anomalies: Column) -> Column:
+    """All subsystems are NORMAL."""
+    return anomalies == 0

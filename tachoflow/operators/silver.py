@@ -72,7 +72,7 @@ def add_vehicle_health(df: DataFrame) -> DataFrame:
     return counted.withColumns(
         {
             "vehicle_health": ratings.vehicle_health(statuses, F.col("anomaly_count")),
-            "ready_for_trip": ratings.ready_for_trip(statuses),
+            "ready_for_trip": ratings.ready_for_trip(F.col("anomaly_count")),
         }
     )
 

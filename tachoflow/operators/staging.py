@@ -53,12 +53,13 @@ def parse_payload(rows: DataFrame, raw: str = "raw_data") -> DataFrame:
     """Replace the raw message by its typed columns.
 
     One JSON parse per row. Only a message with a value of another type, such as a quoted
-    number, is parsed again as text and cast value by value.
+    number, is parsed again as text and cast value by value. The parsed message comes out
+    of a generator: a filter on its columns stays above it, where a filter moved below a
+    projection would parse every message once more.
     """
     kept = [name for name in rows.columns if name != raw]
-    parsed = rows.select(
-        *kept, raw, F.from_json(raw, PAYLOAD_DDL, {"columnNameOfCorruptRecord": MISTYPED}).alias("message")
-    )
+    message = F.from_json(raw, PAYLOAD_DDL, {"columnNameOfCorruptRecord": MISTYPED})
+    parsed = rows.select(*kept, raw, F.inline(F.array(F.struct(message.alias("message")))))
     reparsed = F.when(F.col("message")[MISTYPED].isNotNull(), F.from_json(raw, PAYLOAD_TEXT_DDL))
     both = parsed.select(*kept, "message", reparsed.alias("text"))
     return both.selectExpr(*kept, *payload_columns())

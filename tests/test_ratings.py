@@ -70,7 +70,7 @@ def test_missing_wheel(spark):
 def test_vehicle_health(spark, statuses, count, health, ready):
     columns = [F.lit(s) for s in statuses]
     total = ratings.anomaly_count(columns)
-    row = spark.range(1).select(total, ratings.vehicle_health(columns, total), ratings.ready_for_trip(columns)).first()
+    row = spark.range(1).select(total, ratings.vehicle_health(columns, total), ratings.ready_for_trip(total)).first()
     assert tuple(row) == (count, health, ready)
 
 
