@@ -11,9 +11,11 @@ from ..operators.quality import quality_report
 from ..operators.silver import enrich
 from ..operators.staging import stage
 from ..schema import EVENT_KEY
+from ..sources.seeds import seed_drive_states
 from .lake import Lake
 
-STAGING, SILVER, FACT, ROLLUP = "stg_events", "int_events_enriched", "fct_vehicle_telemetry", "rollup_events"
+SEED, STAGING, SILVER = "drive_state_labels", "stg_events", "int_events_enriched"
+FACT, ROLLUP = "fct_vehicle_telemetry", "rollup_events"
 
 GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "dim_driving_states": gold.dim_driving_states,
@@ -42,6 +44,7 @@ def build(
     check its shuffle.
     """
     lake.create_schemas()
+    lake.write("silver", SEED, seed_drive_states(lake.spark))
     buckets = (staging_buckets, EVENT_KEY) if staging_buckets else None
     staging = lake.write("silver", STAGING, stage(bronze), buckets)
     silver = lake.view(SILVER, enrich(staging))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -31,6 +32,22 @@ def build_session(app_name: str = "tachoflow", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def sizing_conf(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for a job that reads this many bytes.
+
+    Splits grow from 128 MB to 1 GB so that a 100 TB read needs about 100,000 tasks; a
+    shuffle partition takes about 1 GB of raw input. Adaptive execution joins partitions
+    that turn out small, it never splits them for an aggregate or a window, so the number
+    errs on the high side.
+    """
+    split = min(1 << 30, max(128 << 20, input_bytes // 100_000))
+    partitions = max(200, math.ceil(input_bytes / (1 << 30)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name for stream checkpoints and intermediate tables.
 

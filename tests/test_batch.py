@@ -5,8 +5,10 @@ import pytest
 from conftest import plan_of
 from tachoflow.operators.quality import duplicate_keys
 from tachoflow.plans.batch import FACT, GOLD_TABLES, SILVER, STAGING, QualityError, build
+from tachoflow.plans.jobs import RAW, run_batch, start_live
 from tachoflow.plans.lake import Lake
 from tachoflow.schema import EVENT_KEY
+from tachoflow.session import sizing_conf
 from tachoflow.sources.bronze import load_bronze, scan_bronze
 
 
@@ -68,3 +70,30 @@ def test_layer_names(spark):
         Lake(spark).schema_of("platinum")
     with pytest.raises(ValueError):
         Lake(spark).path("gold", "t")
+
+
+def test_jobs_process_only_what_is_new(spark, tmp_path):
+    inbox, root = tmp_path / "in", str(tmp_path / "tables")
+    inbox.mkdir()
+    (inbox / "1.jsonl").write_text(_message(1) + "\n" + _message(2, engine_temp=110.0, fault_active=True) + "\n")
+    assert len(run_batch(spark, str(inbox), root)) == 10
+    (inbox / "2.jsonl").write_text(_message(2) + "\n" + _message(3) + "\n")
+    run_batch(spark, str(inbox), root)
+    lake = Lake(spark, root=root)
+    assert lake.read("bronze", RAW).count() == 4
+    # The reading that came again in the second file replaced the faulty one.
+    summary = lake.read("gold", "agg_trip_summary").first()
+    assert (summary.telemetry_events, summary.normal_events) == (3, 3)
+    assert lake.read("silver", "drive_state_labels").count() == 5
+    for query in start_live(spark, str(inbox), root, availableNow=True):
+        query.awaitTermination()
+    assert spark.read.parquet(f"{root}/live/telemetry_live").count() == 4
+    alert = spark.read.parquet(f"{root}/live/stream_alerts").first()
+    assert (alert.tick, alert.engine_status, alert.severity, alert.min_tyre_pressure) == (2, "WARNING", "WARNING", 32.0)
+
+
+def test_sizes_grow_with_the_input():
+    small, large = sizing_conf(1 << 30), sizing_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) == 102400
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1 << 30

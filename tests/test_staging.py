@@ -88,6 +88,15 @@ def test_unreadable_values_fail(spark, message):
         parse_payload(_bronze(spark, message)).collect()
 
 
+def test_a_filter_does_not_parse_the_message_again(spark, tmp_path):
+    _bronze(spark, {"tick": 1, "rpm": 2.0}).write.parquet(str(tmp_path / "b"))
+    filtered = parse_payload(spark.read.parquet(str(tmp_path / "b"))).where("rpm > 1").select("tick", "rpm")
+    nodes = filtered._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    typed = [n for n in nodes if "from_json(StructField(timestamp,StringType,true), StructField(tick,IntegerType" in n]
+    assert len(typed) == 1 and "Generate" in typed[0]
+    assert filtered.count() == 1
+
+
 def _keyed(spark, rows):
     return spark.createDataFrame(rows, "id BIGINT, ingested_at TIMESTAMP, timestamp TIMESTAMP, tick INT")
 
