@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -17,6 +18,9 @@ from .lake import Lake
 SEED, STAGING, SILVER = "drive_state_labels", "stg_events", "int_events_enriched"
 FACT, ROLLUP = "fct_vehicle_telemetry", "rollup_events"
 
+# The gold tables do not depend on each other; this many are written at a time.
+BUILD_THREADS = 4
+
 GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "dim_driving_states": gold.dim_driving_states,
     "dim_gear_group": gold.dim_gear_group,
@@ -57,6 +61,11 @@ def build(
         raise QualityError("; ".join(
             f"{r.check_name} on {r.table_name}.{r.column_name}: {r.failures}" for r in failed
         ))
-    for name, build_table in GOLD_TABLES.items():
-        lake.write("gold", name, build_table(rollup))
+    with ThreadPoolExecutor(BUILD_THREADS) as pool:
+        writes = [
+            pool.submit(lake.write, "gold", name, build_table(rollup))
+            for name, build_table in GOLD_TABLES.items()
+        ]
+    for write in writes:
+        write.result()
     return report
