@@ -6,12 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the characters stripped from both ends of a line (Unicode white space).
-WHITE_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
-)
+# The characters stripped from both ends of a line: all Unicode white space (none lies
+# above the first 16 bits).
+WHITE_SPACE = "".join(chr(code) for code in range(1 << 16) if chr(code).isspace())
 STRICT_JSON = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_bad",
