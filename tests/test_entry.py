@@ -3,7 +3,10 @@ import pytest
 import __spark_entry__ as driver
 from checks.compare import difference
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+from checks.catalog import all_queries
+from checks.oracle import all_oracles
+
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 def test_every_query_has_its_sql():
