@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
+from tachoflow.llm.quality_rules import quality_report
 from tachoflow.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +18,12 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=4, percent=85)
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_jaccard_join,)}
+    return {f.__name__: f for f in (op5_jaccard_join, op9_quality_rules)}
 
 
 def all_oracles() -> dict[str, str]:
