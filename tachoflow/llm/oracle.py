@@ -19,7 +19,21 @@ reach(a, b) as (select a, b from linked union select reach.a, linked.b from reac
 named as (select a as doc_id, least(a, min(b)) as component_id from reach group by 1)"""
 
 
+def containment_ctes(size: int, percent: int, source: str = "documents") -> str:
+    """Cte ``leaks`` (doc_id, item_id, n_shingles, n_found)."""
+    words = r"""regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '[!-/:-@\[-`{-~]', ' ', 'g'), '[^\x20\x09-\x0D]+')"""
+    return f"""dw as (select doc_id, {words} as w from {source}), iw as (select distinct item_id, text, {words} as w from benchmark where text is not null),
+ilen as (select item_id, text, w, least(len(w), {size}) as n from iw where len(w) > 0),
+ish as (select distinct item_id, text, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) as g from ilen),
+dsh as (select distinct doc_id, n, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' '))) as g
+  from dw, (select distinct n from ilen)),
+leaks as (select doc_id, item_id, any_value(total) as n_shingles, count(*) as n_found from dsh
+  join (select *, count(*) over (partition by item_id, text) as total from ish) x using (n, g)
+  group by doc_id, item_id, text having 100 * count(*) >= {percent} * any_value(total))"""
+
+
 ORACLES = {
     "op5_jaccard_join": f"""with recursive {near_duplicate_ctes(4, 85)}
 select sizes.doc_id, n as n_shingles, coalesce(component_id, sizes.doc_id) as component_id from sizes left join named using (doc_id)""",
+    "op7_decontamination": f"with {containment_ctes(5, 80)} select * from leaks",
 }

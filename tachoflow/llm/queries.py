@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tachoflow.llm.decontamination import contaminated
 from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
 from tachoflow.llm.quality_rules import quality_report
@@ -18,12 +19,16 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=4, percent=85)
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_jaccard_join, op9_quality_rules)}
+    return {f.__name__: f for f in (op5_jaccard_join, op7_decontamination, op9_quality_rules)}
 
 
 def all_oracles() -> dict[str, str]:

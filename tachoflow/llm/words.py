@@ -88,7 +88,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
     """The texts of an Arrow column in order, in slices of at most that many bytes (or one text) and 2**TEXT_BITS texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "").cast(pa.large_binary())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     if not len(column):
         return
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
