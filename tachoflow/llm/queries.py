@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tachoflow.llm.decontamination import contaminated
 from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
+from tachoflow.llm.personal_data import KINDS, joined, personal_data
 from tachoflow.llm.quality_rules import quality_report
 from tachoflow.llm.tables import table
 
@@ -19,6 +21,16 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=4, percent=85)
 
 
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents"))
+
+    def count(k: int, kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{kind}")
+
+    counts = (count(k, kind) for k, kind in enumerate(KINDS))
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -28,7 +40,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_jaccard_join, op7_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op5_jaccard_join, op6_personal_data, op7_decontamination, op9_quality_rules)}
 
 
 def all_oracles() -> dict[str, str]:
