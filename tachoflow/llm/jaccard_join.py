@@ -33,7 +33,7 @@ from tachoflow.llm.words import LOWER, U64, Texts, distinct_per_text, find_words
 
 MAP_BITS = 1024
 #: Sets that share a signature up to this many are paired by id, more in blocks with their maps.
-FEW = 64
+FEW = 8
 BLOCK = 2048
 #: Signatures a task gathers before it passes them on.
 CHUNK = 1 << 20
