@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tachoflow.llm.boosting import Row, boost, threshold
-from tachoflow.llm.tables import written
+from tachoflow.llm.tables import broadcast_if_small, written
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.98
@@ -146,7 +146,7 @@ def _spans(docs: DataFrame) -> DataFrame:
         return F.transform(f"made_{k}", lambda x: described(g, x))
 
     made = F.concat(*(candidates(k, g) for k, g in enumerate(GENERATORS)))
-    return df.select("doc_id", base.alias("base"), made.alias("candidates"))
+    return df.select("doc_id", F.xxhash64("text").alias("text_key"), base.alias("base"), made.alias("candidates"))
 
 
 def _overlaps(x: Column, b: Column) -> Column:
@@ -178,7 +178,7 @@ def personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     ``docs`` has doc_id and text; other columns are ignored. Returns one row per row: doc_id,
     ``base`` (the spans that the base patterns find) and ``spans`` (these and the added ones),
     arrays of (kind, start, end) ordered by kind as in KINDS and start; positions count code
-    points from 0, ends are exclusive.
+    points from 0, ends are exclusive. ``text_key`` is a hash of the text, for ``redacted``.
 
     Null and empty texts have empty arrays. Repeated rows are treated alike. Without
     candidates, or with labels of one sort only, nothing is added for the kind.
@@ -195,7 +195,7 @@ def personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
       (acc, c) -> if(c.kind = acc.kind and c.start < acc.till, acc,
         struct(c.kind as kind, -c.last as till, concat(acc.out, array(struct(c.kind as kind, c.start as start, -c.last as end))) as out)),
       acc -> acc.out)""")
-    return found.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", F.when(F.size("candidates") > 0, added).otherwise(F.array().cast(f"array<{span}>")))).alias("spans"))
+    return found.select("doc_id", "text_key", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", F.when(F.size("candidates") > 0, added).otherwise(F.array().cast(f"array<{span}>")))).alias("spans"))
 
 
 def joined(spans: str) -> Column:
@@ -204,17 +204,20 @@ def joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def redacted(docs: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """The documents with every span of their text replaced by its kind in brackets.
 
-    Overlapping spans become one mark, named by the first. ``spans`` has one row per key;
-    repeated rows of a document share it.
+    Overlapping spans become one mark, named by the first. ``spans`` is what ``personal_data``
+    gives for these documents; rows are matched by doc_id (a missing one too) and text.
     """
-    own = spans.where(F.size("spans") > 0).select(F.col(key).alias("span_key"), F.col("spans").alias("marked")).dropDuplicates(["span_key"])
+    own = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias("span_id"), "text_key", F.col("spans").alias("marked"))
+    own = broadcast_if_small(written(own.dropDuplicates(["span_id", "text_key"]), "marked"), 256)
     pieces = F.expr("""aggregate(
       array_sort(transform(marked, s -> struct(s.start as start, s.end as end, s.kind as kind))),
       struct(0L as at, '' as out),
       (acc, s) -> if(s.start < acc.at, struct(greatest(acc.at, s.end) as at, acc.out as out),
         struct(s.end as at, concat(acc.out, substr(text, cast(acc.at + 1 as int), cast(s.start - acc.at as int)), '[', element_at(array('EMAIL', 'IP', 'CARD', 'PHONE'), s.kind + 1), ']') as out)),
       acc -> concat(acc.out, substr(text, cast(acc.at + 1 as int))))""")
-    return docs.join(own, F.col(key) == F.col("span_key"), "left").withColumn("text", F.when(F.col("marked").isNull(), F.col("text")).otherwise(pieces)).drop("span_key", "marked")
+    same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.xxhash64("text") == F.col("text_key"))
+    met = docs.join(own, same, "left")
+    return met.withColumn("text", F.when(F.col("marked").isNull(), F.col("text")).otherwise(pieces)).select(*docs.columns)

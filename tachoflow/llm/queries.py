@@ -12,11 +12,16 @@ from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
 from tachoflow.llm.personal_data import KINDS, joined, personal_data
 from tachoflow.llm.quality_rules import quality_report
+from tachoflow.llm.sentencepiece_codec import encoded
 from tachoflow.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=4, percent=85)
 
@@ -40,7 +45,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_jaccard_join, op6_personal_data, op7_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_sentencepiece, op5_jaccard_join, op6_personal_data, op7_decontamination, op9_quality_rules)}
 
 
 def all_oracles() -> dict[str, str]:
