@@ -14,10 +14,16 @@ from tachoflow.llm.personal_data import KINDS, joined, personal_data
 from tachoflow.llm.quality_rules import quality_report
 from tachoflow.llm.sentencepiece_codec import encoded
 from tachoflow.llm.tables import table
+from tachoflow.llm.token_attribution import section_token_counts
+from tachoflow.llm.weak_labels import quality_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(table(spark, folder, "documents"))
 
@@ -40,12 +46,20 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return section_token_counts(table(spark, folder, "documents"), rule="majority")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_sentencepiece, op5_jaccard_join, op6_personal_data, op7_decontamination, op9_quality_rules)}
+    found = (
+        op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
+        op7_decontamination, op8_token_counts, op9_quality_rules,
+    )
+    return {f.__name__: f for f in found}
 
 
 def all_oracles() -> dict[str, str]:
