@@ -12,6 +12,7 @@ from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
 from tachoflow.llm.personal_data import KINDS, joined, personal_data
 from tachoflow.llm.quality_rules import quality_report
+from tachoflow.llm.quotation_linking import reply_threads
 from tachoflow.llm.sentencepiece_codec import encoded
 from tachoflow.llm.tables import table
 from tachoflow.llm.token_attribution import section_token_counts
@@ -20,6 +21,10 @@ from tachoflow.llm.weak_labels import quality_scores
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return reply_threads(table(spark, folder, "conversations"))
+
+
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"))
 
@@ -56,7 +61,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     found = (
-        op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
+        op1_quotation_linking, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
         op7_decontamination, op8_token_counts, op9_quality_rules,
     )
     return {f.__name__: f for f in found}
