@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tachoflow.llm.decontamination import contaminated
+from tachoflow.llm.html_extraction import main_text
 from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.oracle import ORACLES
 from tachoflow.llm.personal_data import KINDS, joined, personal_data
@@ -59,10 +60,14 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
 def all_queries() -> dict[str, Query]:
     found = (
         op1_quotation_linking, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
-        op7_decontamination, op8_token_counts, op9_quality_rules,
+        op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction,
     )
     return {f.__name__: f for f in found}
 
