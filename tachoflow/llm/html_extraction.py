@@ -42,11 +42,13 @@ _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _NAMED = re.compile(r"\b(?:class|id|role|style|hidden|aria-hidden)\b", re.IGNORECASE)
 
+#: Shares of not content and content by length, links and sentence end of a text run.
+_LENGTH = ((0.4, 0.05), (0.4, 0.12), (0.15, 0.25), (0.05, 0.58))
+_LINKS = ((0.4, 0.9), (0.1, 0.08), (0.5, 0.02))
+_SENTENCE = ((0.7, 0.2), (0.3, 0.8))
 #: Counts that stand for what is known before any page: feature value -> (not content, content).
 PRIOR = {
-    "length": ((40, 5), (40, 12), (15, 25), (5, 58)),
-    "links": ((40, 85), (10, 10), (10, 4), (40, 1)),
-    "sentence": ((70, 20), (30, 80)),
+    "run": tuple(tuple(100 * a[k] * b[k] * c[k] for k in (0, 1)) for a in _LENGTH for b in _LINKS for c in _SENTENCE),
     "element": ((50, 50), (30, 60), (1, 30), (5, 20)),
     "edge": ((90, 10), (10, 90)),
 }
@@ -73,12 +75,10 @@ def never(tag: str, attributes: str, in_main: bool = False) -> bool:
 
 def features(node: Node) -> list[tuple[str, int]]:
     if node.tag is None:
-        size, linked = len(node.text), node.linked
-        return [
-            ("length", (size > 25) + (size > 80) + (size > 200)),
-            ("links", (linked > 0) + (linked > 0.3) + (linked > 0.7)),
-            ("sentence", int(node.text.rstrip("\"')»” ")[-1:] in tuple(".!?…。"))),
-        ]
+        length = (len(node.text) > 25) + (len(node.text) > 80) + (len(node.text) > 200)
+        links = (node.linked > 0.1) + (node.linked > 0.5)
+        sentence = node.text.rstrip("\"')»” ")[-1:] in tuple(".!?…。")
+        return [("run", (length * len(_LINKS) + links) * len(_SENTENCE) + sentence)]
     # Plain containers say nothing by themselves.
     kind = 1 if node.tag in TEXTUAL else 2 if node.tag in MAIN else 3 if node.tag in HEADINGS else 0
     return [("element", kind)] if kind else []
