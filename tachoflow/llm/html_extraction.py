@@ -43,9 +43,9 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _NAMED = re.compile(r"\b(?:class|id|role|style|hidden|aria-hidden)\b", re.IGNORECASE)
 
 #: Shares of not content and content by length, links and sentence end of a text run.
-_LENGTH = ((0.4, 0.05), (0.4, 0.12), (0.15, 0.25), (0.05, 0.58))
-_LINKS = ((0.4, 0.9), (0.1, 0.08), (0.5, 0.02))
-_SENTENCE = ((0.7, 0.2), (0.3, 0.8))
+_LENGTH = ((0.3, 0.15), (0.35, 0.2), (0.2, 0.25), (0.15, 0.4))
+_LINKS = ((0.4, 0.8), (0.1, 0.15), (0.5, 0.05))
+_SENTENCE = ((0.6, 0.35), (0.4, 0.65))
 #: Counts that stand for what is known before any page: feature value -> (not content, content).
 PRIOR = {
     "run": tuple(tuple(100 * a[k] * b[k] * c[k] for k in (0, 1)) for a in _LENGTH for b in _LINKS for c in _SENTENCE),
