@@ -13,7 +13,8 @@ spread so that no group of copies is ever paired out:
 4. If all sets that share a signature are connected by now, nothing is left to compare. For
    the components in which a comparison failed, signatures are made again and sets of
    different components that share one are compared; where many do, in blocks of bounded
-   size whose pairs are filtered by parity map before any row is emitted.
+   size whose pairs are filtered by parity map before any row is emitted. A first turn takes
+   only the nearest partners, so that a second one, which takes all, finds few components.
 5. Components of all links give the groups.
 """
 
@@ -35,6 +36,8 @@ MAP_BITS = 1024
 #: Sets that share a signature up to this many are paired by id, more in blocks with their maps.
 FEW = 8
 BLOCK = 2048
+#: Partners a set is compared with before all others, where many share a signature.
+NEAREST = 2
 #: Signatures a task gathers before it passes them on.
 CHUNK = 1 << 20
 
@@ -235,8 +238,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return arrow_step(rows.select("a", "b", "text_a", "text_b"), step, "a long, b long")
 
 
-def _paired_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs of different components within each (sign, low, high) block of rows."""
+def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Possible pairs of different components within each (sign, low, high) block of rows.
+
+    ``nearest``: only so many pairs for each row, those whose maps differ least.
+    """
 
     def pairs_of(group: list[tuple], rectangle: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block = np.array([g[0] for g in group])
@@ -249,7 +255,10 @@ def _paired_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
             if rectangle:
                 good &= block[rest] != block[k]
             at = np.flatnonzero(good)
-            at = at[np.bitwise_count(maps[rest][at] ^ maps[k]).sum(axis=1) <= most[at]]
+            apart = np.bitwise_count(maps[rest][at] ^ maps[k]).sum(axis=1)
+            at, apart = at[apart <= most[at]], apart[apart <= most[at]]
+            if nearest and len(at) > nearest:
+                at = at[np.argsort(apart, kind="stable")[:nearest]]
             if len(at):
                 yield np.full(len(at), member[k]), member[rest][at]
 
@@ -282,7 +291,7 @@ def _paired_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _remaining(docs: DataFrame, sets: DataFrame, tried: DataFrame, links: DataFrame, size: int, bands: Bands) -> DataFrame:
+def _remaining(docs: DataFrame, sets: DataFrame, tried: DataFrame, links: DataFrame, size: int, bands: Bands, nearest: int | None) -> DataFrame:
     """Possible pairs that share a signature, lie in different components and weren't tried."""
     percent = bands.percent
     roots = written(components(links), "roots")
@@ -312,7 +321,7 @@ def _remaining(docs: DataFrame, sets: DataFrame, tried: DataFrame, links: DataFr
     by_id = few.join(few.select("sign", F.col("member").alias("b"), F.col("root").alias("root_b")), "sign").where("member < b and root <> root_b").select(F.col("member").alias("a"), "b")
     many = rows.where(F.col("c") > FEW).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).join(
         open_sets.select(F.col("set_id").alias("member"), "n", "map"), "member")
-    pairs = by_id.union(_paired_in_blocks(many, percent)).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = by_id.union(_paired_in_blocks(many, percent, nearest)).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     return _possible(pairs, sets, percent)
 
 
@@ -337,8 +346,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     sets = written(sets, "distinct-sets")
     tried = written(_star_pairs(_signed_sets(docs, size, bands)), "candidates")
     links = written(_verified(written(_possible(tried, sets, percent), "possible"), docs, size, percent), "links")
-    more = written(_remaining(docs, sets, tried, links, size, bands), "possible")
-    links = written(links.union(_verified(more, docs, size, percent)), "links")
+    # First the nearest partners, which joins most of a group of near copies, then all that are left.
+    for nearest in (NEAREST, None):
+        more = written(_remaining(docs, sets, tried, links, size, bands, nearest), "possible")
+        links = written(links.union(_verified(more, docs, size, percent)), "links")
+        tried = tried.select("a", "b").union(more.select("a", "b"))
     roots = components(links)
     named = sets.select("set_id", "doc_id").join(roots, F.col("set_id") == F.col("node"))
     names = named.groupBy("root").agg(F.min("doc_id").alias("name"))
