@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tachoflow.llm.decontamination import contaminated
 from tachoflow.llm.html_extraction import main_text
 from tachoflow.llm.jaccard_join import jaccard_components
+from tachoflow.llm.lm_scoring import scored
 from tachoflow.llm.oracle import ORACLES
 from tachoflow.llm.personal_data import KINDS, joined, personal_data
 from tachoflow.llm.quality_rules import quality_report
@@ -26,6 +27,10 @@ def op1_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return reply_threads(table(spark, folder, "conversations"))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scored(table(spark, folder, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"))
 
@@ -66,7 +71,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     found = (
-        op1_quotation_linking, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
+        op1_quotation_linking, op2_lm_scoring, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
         op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction,
     )
     return {f.__name__: f for f in found}
