@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tachoflow.llm.tables import written
 
-MARKS = r"^(?:[ \t]*>)+"
+# Possessive: a loop in the regular expression engine, where giving back would recurse once per mark.
+MARKS = r"^(?:[ \t]*+>)++"
 #: Lines before a quote that only say who wrote it.
 ANNOUNCES = r"(?i)^\s*(?:on\b.*\bwrote|le\b.*\ba écrit|am\b.*\bschrieb.*|el\b.*\bescribió|.{1,80}\bwrote)\s*:\s*$"
 

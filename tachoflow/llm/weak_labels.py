@@ -154,7 +154,7 @@ def quality_scores(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
     # At most 3 ** LABELLERS rows.
     cast = docs.mapInArrow(vote, "doc_id long, pattern string")
     table = cast.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
-    patterns = np.array([[int(c) for c in r.pattern] for r in table]).reshape(-1, LABELLERS)
+    patterns = np.array([[int(c) for c in r.pattern] for r in table], int).reshape(-1, LABELLERS)
     total = sum(r.n for r in table)
     posterior, _, _ = expectation_maximisation(patterns, np.array([r.n for r in table], float))
     label = {r.pattern: float(p) for r, p in zip(table, posterior, strict=True)}
