@@ -39,7 +39,9 @@ BLOCK = 2048
 #: Partners a set is compared with before all others, where many share a signature.
 NEAREST = 2
 #: Signatures a task gathers before it passes them on.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Set ids a task remembers having signed.
+REMEMBERED = 1 << 17
 
 
 def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +123,7 @@ def _signed_sets(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
                 for k, one in enumerate(ids.tolist()):
                     again[k] = one in done
                     done.add(one)
-                if len(done) > CHUNK:
+                if len(done) > REMEMBERED:
                     done.clear()
                 fresh = ~again[owner]
                 sign, who = signatures(features[fresh], owner[fresh], texts.count, bands)
