@@ -160,15 +160,63 @@ def src_last_line_wins(spark: SparkSession, folder: str) -> DataFrame:
 def src_consume_once(spark: SparkSession, folder: str) -> DataFrame:
     """Faulty readings arrive first, the others later; each run takes what is new."""
     inbox, table = scratch_dir(spark, "once-in"), scratch_dir(spark, "once-out")
-    checkpoint = scratch_dir(spark, "once-checkpoint")
     rows = readings(spark, folder)
     for part in ("fault_active", "not fault_active"):
         _write_messages(rows.where(part), inbox)
-        consume_once(spark, inbox, table, checkpoint)
-    consume_once(spark, inbox, table, checkpoint)
+        consume_once(spark, inbox, table)
+    consume_once(spark, inbox, table)
     return parse_payload(scan_bronze(spark, table)).select(*MESSAGE_COLUMNS)
 
 
+def _age(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the modification time of a folder's files back."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def src_consume_late_and_refilled(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries: one, one whose files are a month older, one below the paths of the first."""
+    inbox, table = scratch_dir(spark, "late-in"), scratch_dir(spark, "late-out")
+    rows = readings(spark, folder)
+    for turn, part in enumerate(("id % 3 = 0", "id % 3 = 1", "id % 3 = 2")):
+        target = f"{inbox}/part={1 if turn == 1 else 0}"
+        sensor_payload(rows.where(part)).select("raw_data").coalesce(1).write.mode("overwrite").text(target)
+        if turn == 2:
+            _rename_as_before(spark, target, names)
+        if turn == 1:
+            _age(spark, target, 30)
+        if turn == 0:
+            names = _file_names(spark, target)
+        consume_once(spark, f"{inbox}/*", table)
+    return parse_payload(scan_bronze(spark, table)).select(*MESSAGE_COLUMNS)
+
+
+def _file_names(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(path) if s.getPath().getName().startswith("part-"))
+
+
+def _rename_as_before(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Give the files of a folder the names that its files had in an earlier delivery."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for now, before in zip(_file_names(spark, folder), names):
+        files.rename(hadoop.Path(f"{folder}/{now}"), hadoop.Path(f"{folder}/{before}"))
+
+
+def src_empty_input(spark: SparkSession, folder: str) -> DataFrame:
+    """A load of nothing adds nothing to a loaded table."""
+    inbox, table = scratch_dir(spark, "empty-in"), scratch_dir(spark, "empty-out")
+    _write_messages(readings(spark, folder), inbox)
+    consume_once(spark, inbox, table)
+    added = load_bronze(spark, f"{inbox}/none", table)
+    return scan_bronze(spark, table).agg(F.count(F.lit(1)).alias("loaded"), F.lit(added).cast("long").alias("added"))
+
+
 def seed_labels(spark: SparkSession, folder: str) -> DataFrame:
     """The seed rows with the number of fact rows in each state."""
     counts = fact(spark, folder).groupBy("drive_state").agg(F.count(F.lit(1)).alias("events"))
@@ -332,6 +380,8 @@ def all_queries() -> dict[str, Query]:
         "src_load_bronze": src_load_bronze,
         "src_last_line_wins": src_last_line_wins,
         "src_consume_once": src_consume_once,
+        "src_consume_late_and_refilled": src_consume_late_and_refilled,
+        "src_empty_input": src_empty_input,
         "seed_drive_states": seed_labels,
         "stg_parse": stg_parse,
         "stg_dedup": stg_dedup,

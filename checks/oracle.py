@@ -242,6 +242,8 @@ def all_oracles() -> dict[str, str]:
         "src_load_bronze": _query(messages),
         "src_last_line_wins": _query(LAST_LINE),
         "src_consume_once": _query(messages),
+        "src_consume_late_and_refilled": _query(messages),
+        "src_empty_input": _query("select count(*) as loaded, 0 as added from tel"),
         "seed_drive_states": _query(
             "select seed.*, n as events from " + SEED + " left join "
             "(select drive_state, count(*) as n from fct group by drive_state) c using (drive_state)"

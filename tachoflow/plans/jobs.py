@@ -29,7 +29,7 @@ def run_batch(spark: SparkSession, inbox: str, root: str, *, strict: bool = True
     """
     lake = Lake(spark, root=root)
     raw = lake.path("bronze", RAW)
-    consume_once(spark, inbox, raw, f"{root}/_checkpoints/{RAW}")
+    consume_once(spark, inbox, raw)
     return build(lake, scan_bronze(spark, raw), strict=strict)
 
 

@@ -1,73 +1,125 @@
-"""The append-only bronze table ``(id, ingested_at, raw_data)``, one folder per load."""
+"""The append-only bronze table ``(id, ingested_at, raw_data)``.
+
+Every load writes one folder ``load=<unique name>`` and then its part of the manifest
+(``_manifest`` in the same folder), which names the files it took and the last id it gave.
+Only loads that the manifest names count: a load that broke off is never seen, and two loads
+at once do not touch each other.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..schema import BRONZE_DDL
-from .jsonl import ROW_IN_TASK, read_lines, require_json, split_by_validity
+from .jsonl import read_lines, require_json, split_by_validity
 
-# A file listing up to this many rows (about 200 bytes each) is sent to every executor.
-BROADCAST_FILES = 100_000
+MANIFEST_DDL = "load STRING, file_path STRING, file_time TIMESTAMP, file_size BIGINT, end_id BIGINT"
+#: A load takes up to so many files; what is left makes further loads.
+FILES_PER_LOAD = 20_000
 
 
-def scan_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All bronze rows; a table that was never written has none."""
+def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        table = spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], BRONZE_DDL)
-    return table.select("id", "ingested_at", "raw_data")
+        return None
 
 
-def file_offsets(spark: SparkSession, path: str, by_name: bool = False) -> DataFrame:
-    """Where each file starts in the sequence of ids: after all files before it.
+def manifest(spark: SparkSession, table: str) -> DataFrame:
+    """One row per file of every finished load."""
+    found = _read_or_none(spark, f"{table}/_manifest", MANIFEST_DDL)
+    return spark.createDataFrame([], MANIFEST_DDL) if found is None else found
 
-    Files are ordered by modification time, then name; ``by_name`` drops the time, for
-    folders whose files were written in parallel. Only the listing is read, not the files.
-    """
-    files = spark.read.format("binaryFile").load(path).select(
+
+def scan_bronze(spark: SparkSession, table: str) -> DataFrame:
+    """All rows of finished loads; a table that was never written has none."""
+    rows = _read_or_none(spark, table, f"{BRONZE_DDL}, load STRING")
+    if rows is None:
+        return spark.createDataFrame([], BRONZE_DDL)
+    done = manifest(spark, table).select("load").distinct()
+    return rows.join(done, "load", "left_semi").select("id", "ingested_at", "raw_data")
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path, modification time and size of the files of a folder; only the listing is read."""
+    try:
+        files = spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file_path STRING, file_time TIMESTAMP, file_size BIGINT")
+    return files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_time"),
-        (F.col("_metadata.file_size") + ROW_IN_TASK + 1).alias("span"),
+        F.col("_metadata.file_size").alias("file_size"),
     )
-    order = ["file_path"] if by_name else ["file_time", "file_path"]
-    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("span").over(earlier), F.lit(0))
-    return files.select("file_path", start.alias("file_start"))
 
 
-def to_bronze(
-    lines: DataFrame, offsets: DataFrame, first_id: int = 0, ingested_at: datetime | None = None
-) -> DataFrame:
-    """Number lines in load order and stamp them with one ingestion time."""
-    if offsets.count() <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    load_time = F.lit(ingested_at) if ingested_at else F.current_timestamp()
-    return lines.join(offsets, "file_path").select(
-        (F.lit(first_id) + F.col("file_start") + F.col("position")).cast("long").alias("id"),
-        load_time.cast("timestamp").alias("ingested_at"),
-        F.col("value").alias("raw_data"),
-    )
+def new_files(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Files that no finished load took: unknown paths, and known paths with a new time or size."""
+    known = manifest(spark, table).select("file_path", "file_time", "file_size")
+    return list_files(spark, path).join(known, ["file_path", "file_time", "file_size"], "left_anti")
 
 
-def next_id(table: DataFrame) -> int:
-    """The id that continues a table (reads the id column only)."""
-    last = table.agg(F.max("id")).first()[0]
+def next_id(spark: SparkSession, table: str) -> int:
+    """The id that continues the table, from its manifest."""
+    last = manifest(spark, table).agg(F.max("end_id")).first()[0]
     return 0 if last is None else last + 1
 
 
-def write_counted(rows: DataFrame, path: str) -> int:
-    """Write one load and count its rows in the same job."""
+def _split_bytes(spark: SparkSession) -> int:
+    text = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return int(text)
+
+
+def load_files(
+    spark: SparkSession,
+    files: Sequence,
+    table: str,
+    *,
+    ingested_at: datetime | None = None,
+    quarantine: str | None = None,
+) -> int:
+    """Load these files (rows of ``list_files``, in load order) as one load.
+
+    A file's ids start after those of the files before it; it takes no more than its bytes
+    plus one split, so ids grow with the bytes loaded. Returns the number of rows.
+    """
+    if not files:
+        return 0
+    first, room = next_id(spark, table), _split_bytes(spark) + 1
+    offsets, at = [], first
+    for file in files:
+        offsets.append((file.file_path, at))
+        at += file.file_size + room
+    lines = read_lines(spark, [file.file_path for file in files])
+    load = uuid.uuid4().hex
+    if quarantine:
+        lines, bad = split_by_validity(lines)
+        bad.write.mode("overwrite").parquet(f"{quarantine}/load={load}")
+    else:
+        lines = require_json(lines)
+    starts = spark.createDataFrame(offsets, "file_path STRING, file_start BIGINT")
+    load_time = F.lit(ingested_at) if ingested_at else F.current_timestamp()
+    rows = lines.join(starts, "file_path").select(
+        (F.col("file_start") + F.col("position")).cast("long").alias("id"),
+        load_time.cast("timestamp").alias("ingested_at"),
+        F.col("value").alias("raw_data"),
+    )
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table}/load={load}")
+    # Each load has its own folder here too, so that writers never share one.
+    taken = [(file.file_path, file.file_time, file.file_size, at) for file in files]
+    done = spark.createDataFrame(taken, MANIFEST_DDL.removeprefix("load STRING, "))
+    done.coalesce(1).write.parquet(f"{table}/_manifest/load={load}")
     return seen.get["rows"]
 
 
@@ -80,19 +132,21 @@ def load_bronze(
     ingested_at: datetime | None = None,
     quarantine: str | None = None,
 ) -> int:
-    """Append the lines of a file or folder to bronze; returns the number of new rows.
+    """Append the lines of a file or folder to bronze, whether or not they were loaded before.
 
-    One bad line fails the whole load, unless a ``quarantine`` path takes bad lines. A
-    missing or blank source adds nothing and writes nothing.
+    Files are ordered by modification time, then name; ``by_name`` drops the time, for
+    folders whose files were written in parallel. One bad line fails the load, unless a
+    ``quarantine`` path takes bad lines. A missing or blank source adds nothing and writes
+    nothing. Returns the number of new rows.
     """
-    lines = read_lines(spark, source)
-    if lines.isEmpty():
+    if read_lines(spark, source).isEmpty():
         return 0
-    if quarantine:
-        good, bad = split_by_validity(lines)
-        bad.write.mode("append").parquet(quarantine)
-    else:
-        good = require_json(lines)
-    first = next_id(scan_bronze(spark, table))
-    rows = to_bronze(good, file_offsets(spark, source, by_name), first, ingested_at)
-    return write_counted(rows, f"{table}/load=file-{first}")
+    order = ["file_path"] if by_name else ["file_time", "file_path"]
+    files, rows = list_files(spark, source).orderBy(*order).toLocalIterator(), 0
+    block: list = []
+    for file in files:
+        block.append(file)
+        if len(block) == FILES_PER_LOAD:
+            rows += load_files(spark, block, table, ingested_at=ingested_at, quarantine=quarantine)
+            block = []
+    return rows + load_files(spark, block, table, ingested_at=ingested_at, quarantine=quarantine)

@@ -27,7 +27,7 @@ def _add_origin(text: DataFrame) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Non-blank lines as ``(value, file_path, position)``; a missing path has none.
 
     ``position`` grows with the place of the line in its file. A task packs at most one

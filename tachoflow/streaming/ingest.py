@@ -2,55 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from ..sources.bronze import file_offsets, next_id, scan_bronze, to_bronze
-from ..sources.jsonl import number_lines, require_json, split_by_validity, stream_lines
+from ..sources.bronze import FILES_PER_LOAD, load_files, new_files
 
 
 def consume_once(
     spark: SparkSession,
     inbox: str,
     table: str,
-    checkpoint: str,
     *,
     by_name: bool = False,
-    max_files_per_trigger: int | None = None,
+    files_per_load: int = FILES_PER_LOAD,
     quarantine: str | None = None,
-) -> None:
-    """Append the lines of files not seen before, then stop.
-
-    The checkpoint remembers the files, so input is never emptied: a crash neither
-    repeats nor loses lines. Each batch owns one folder of the table and rewrites it when
-    it is replayed. The checkpoint and the table belong together. A bad line fails the
-    batch before anything is committed, unless a ``quarantine`` path takes bad lines.
+) -> int:
+    """Append the lines of all files not taken before; returns the number of rows.
+
+    The table's manifest remembers path, time and size of every file taken, so a file that
+    arrives late with an old time is taken, and so is a path that was filled again (as a
+    whole: what it repeats is resolved by de-duplication). A crash neither repeats nor loses
+    lines. A bad line fails the load before anything is committed, unless a ``quarantine``
+    path takes bad lines. Run one consumer of an inbox at a time.
     """
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        lines = number_lines(batch)
-        if quarantine:
-            good, bad = split_by_validity(lines)
-            bad.write.mode("overwrite").parquet(f"{quarantine}/load={batch_id}")
-        else:
-            good = require_json(lines)
-        first = _first_id(session, table, batch_id)
-        rows = to_bronze(good, file_offsets(session, inbox, by_name), first)
-        rows.write.mode("overwrite").parquet(f"{table}/load=stream-{batch_id}")
-
-    lines = stream_lines(spark, inbox, max_files_per_trigger)
-    query = (
-        lines.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
-def _first_id(spark: SparkSession, table: str, batch_id: int) -> int:
-    """Ids grow from load to load, so as a rule only the load before this one is read."""
-    if batch_id == 0:
-        return next_id(scan_bronze(spark, table))
-    before = next_id(scan_bronze(spark, f"{table}/load=stream-{batch_id - 1}"))
-    return before or next_id(scan_bronze(spark, table))
+    order = ["file_path"] if by_name else ["file_time", "file_path"]
+    rows = 0
+    while files := new_files(spark, inbox, table).orderBy(*order).limit(files_per_load).collect():
+        rows += load_files(spark, files, table, quarantine=quarantine)
+    return rows

@@ -1,4 +1,6 @@
 import json
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -6,7 +8,7 @@ import pytest
 from tachoflow.operators.staging import latest_wins
 from tachoflow.schema import ALERT_COLUMNS, LIVE_COLUMNS
 from tachoflow.session import scratch_dir
-from tachoflow.sources.bronze import scan_bronze
+from tachoflow.sources.bronze import load_bronze, next_id, scan_bronze
 from tachoflow.sources.sensors import sensor_payload, sensor_rows
 from tachoflow.streaming.dedup import current_rows, dedup_stream, merge_batch
 from tachoflow.streaming.ingest import consume_once
@@ -41,13 +43,17 @@ def test_stream_equals_batch(spark, messages, tmp_path, operator, columns):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+def _fill(path, turn, rows=5):
+    path.write_text("".join(f'{{"turn":{turn},"n":{n}}}\n' for n in range(rows)))
+
+
 def test_only_new_files_are_consumed(spark, tmp_path):
-    inbox, table, checkpoint = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+    inbox, table = tmp_path / "in", str(tmp_path / "bronze")
     inbox.mkdir()
     for turn in range(3):
-        (inbox / f"part{turn}.jsonl").write_text("".join(f'{{"turn":{turn},"n":{n}}}\n' for n in range(5)))
-        consume_once(spark, str(inbox), table, checkpoint)
-        consume_once(spark, str(inbox), table, checkpoint)
+        _fill(inbox / f"part{turn}.jsonl", turn)
+        assert consume_once(spark, str(inbox), table) == 5
+        assert consume_once(spark, str(inbox), table) == 0
         assert scan_bronze(spark, table).count() == 5 * (turn + 1)
     rows = scan_bronze(spark, table).orderBy("id").collect()
     assert [json.loads(r.raw_data)["turn"] for r in rows] == [t for t in range(3) for _ in range(5)]
@@ -56,14 +62,47 @@ def test_only_new_files_are_consumed(spark, tmp_path):
     assert times == sorted(times) and len(set(times)) == 3
 
 
-def test_bad_line_stops_the_batch_and_a_fixed_file_resumes(spark, tmp_path):
-    inbox, table, checkpoint = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+def test_late_and_refilled_files_are_consumed(spark, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "bronze")
+    inbox.mkdir()
+    _fill(inbox / "a.jsonl", 0)
+    consume_once(spark, str(inbox), table)
+    _fill(inbox / "old.jsonl", 1)
+    os.utime(inbox / "old.jsonl", (1, 1_000_000))
+    assert consume_once(spark, str(inbox), table) == 5
+    _fill(inbox / "a.jsonl", 2, 7)
+    assert consume_once(spark, str(inbox), table) == 7
+    turns = [json.loads(r.raw_data)["turn"] for r in scan_bronze(spark, table).collect()]
+    assert sorted(turns) == [0] * 5 + [1] * 5 + [2] * 7
+
+
+def test_ids_grow_with_the_bytes_and_loads_may_meet(spark, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "bronze")
+    inbox.mkdir()
+    ends = []
+    for turn in range(6):
+        _fill(inbox / f"{turn}.jsonl", turn)
+        consume_once(spark, str(inbox), table, files_per_load=1)
+        ends.append(next_id(spark, table))
+    steps = {b - a for a, b in zip(ends, ends[1:])}
+    assert len(steps) == 1
+    with ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(load_bronze, spark, str(inbox / f"{k}.jsonl"), table) for k in (0, 1)]
+    assert [d.result() for d in done] == [5, 5]
+    assert scan_bronze(spark, table).count() == 40
+    # A load that broke off before its manifest leaves nothing to see.
+    spark.createDataFrame([(1, None, "x")], "id BIGINT, ingested_at TIMESTAMP, raw_data STRING").write.parquet(f"{table}/load=broken")
+    assert scan_bronze(spark, table).count() == 40
+
+
+def test_bad_line_stops_the_load_and_quarantine_resumes(spark, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "bronze")
     inbox.mkdir()
     (inbox / "a.jsonl").write_text('{"n":1}\n{bad\n')
     with pytest.raises(Exception, match="Invalid JSON"):
-        consume_once(spark, str(inbox), table, checkpoint)
+        consume_once(spark, str(inbox), table)
     assert scan_bronze(spark, table).count() == 0
-    consume_once(spark, str(inbox), table, checkpoint, quarantine=str(tmp_path / "bad"))
+    assert consume_once(spark, str(inbox), table, quarantine=str(tmp_path / "bad")) == 1
     assert scan_bronze(spark, table).count() == 1
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
 
