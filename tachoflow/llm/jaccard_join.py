@@ -3,7 +3,8 @@
 Candidates come from PartEnum signatures (``partenum``), which miss no pair. The work is
 spread so that no group of copies is ever paired out:
 
-1. Every text becomes the id of its shingle set with its size and a 1,024-bit parity map.
+1. Every text becomes the id of its shingle set with its size and a parity map of about as
+   many bits as the set has shingles.
    Documents with equal sets are one set from here on.
 2. Sets that share a signature are compared with the smallest of them only (a star). Each
    task first gathers its own sets by signature, so a signature that very many documents
@@ -14,7 +15,8 @@ spread so that no group of copies is ever paired out:
    the components in which a comparison failed, signatures are made again and sets of
    different components that share one are compared; where many do, in blocks of bounded
    size whose pairs are filtered by parity map before any row is emitted. A first turn takes
-   only the nearest partners, so that a second one, which takes all, finds few components.
+   only the nearest partners, so that a second one, which takes all, finds few components;
+   it needs only the shared signatures that the first turn found.
 5. Components of all links give the groups.
 """
 
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tachoflow.llm.graph import components
@@ -32,7 +34,9 @@ from tachoflow.llm.partenum import Bands, set_ids, signatures
 from tachoflow.llm.tables import arrow_step, broadcast_if_small, written
 from tachoflow.llm.words import LOWER, U64, Texts, distinct_per_text, find_words, hash_words, mix, slices, windows
 
-MAP_BITS = 1024
+#: Bits of the smallest and of the largest parity map; larger sets are filtered less sharply.
+MAP_BITS = 1 << 10
+MOST_MAP_BITS = 1 << 16
 #: Sets that share a signature up to this many are paired by id, more in blocks with their maps.
 FEW = 8
 BLOCK = 2048
@@ -40,6 +44,8 @@ BLOCK = 2048
 NEAREST = 2
 #: Signatures a task gathers before it passes them on.
 CHUNK = 1 << 19
+#: Shingles a task keeps of the texts it compared last.
+KEPT_SHINGLES = 1 << 18
 #: Set ids a task remembers having signed.
 REMEMBERED = 1 << 17
 
@@ -59,11 +65,36 @@ def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct_per_text(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
 
 
-def parity_maps(features: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """One row of MAP_BITS / 8 bytes per set; a bit tells whether an odd number of features fell on it."""
-    bit = (mix(features ^ U64(0xA0761D6478BD642F)) % U64(MAP_BITS)).astype(np.int64)
-    odd = np.bincount(owner * MAP_BITS + bit, minlength=count * MAP_BITS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(count, MAP_BITS), axis=1)
+def parity_maps(features: np.ndarray, owner: np.ndarray, count: int) -> pa.Array:
+    """One map per set; a bit tells whether an odd number of features fell on it.
+
+    A map has a power of two of bits, at least as many as the set has features (within the
+    two bounds). Folding a map's halves together gives the map of half the size.
+    """
+    sizes = np.bincount(owner, minlength=count)
+    bits = np.left_shift(1, np.ceil(np.log2(np.clip(sizes, MAP_BITS, MOST_MAP_BITS))).astype(np.int64))
+    start = np.concatenate(([0], np.cumsum(bits)))
+    bit = (mix(features ^ U64(0xA0761D6478BD642F)) & (bits[owner] - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount(start[owner] + bit, minlength=start[-1]) & 1
+    return pa.BinaryArray.from_buffers(pa.binary(), count, [
+        None, pa.py_buffer((start // 8).astype(np.int32).tobytes()), pa.py_buffer(np.packbits(odd.astype(np.uint8)).tobytes())])
+
+
+def folded(maps: list[bytes], size: int) -> np.ndarray:
+    """Maps of one length as rows of ``size`` bytes."""
+    words = np.frombuffer(b"".join(maps), np.uint64)
+    return np.bitwise_xor.reduce(words.reshape(len(maps), -1, size // 8), axis=1)
+
+
+def map_distances(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Bits in which the maps of each pair differ, at the size of the smaller one."""
+    lengths = np.array([[len(a), len(b)] for a, b in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(left), np.int64)
+    for one, two in np.unique(lengths, axis=0):
+        at = np.flatnonzero((lengths[:, 0] == one) & (lengths[:, 1] == two))
+        size = int(min(one, two))
+        out[at] = np.bitwise_count(folded([left[k] for k in at], size) ^ folded([right[k] for k in at], size)).sum(axis=1)
+    return out
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -74,13 +105,12 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for texts in slices(batch["text"]):
             features, owner = shingles(texts, size)
-            maps = parity_maps(features, owner, texts.count)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"].slice(texts.first, texts.count),
                     pa.array(_signed(set_ids(features, owner, texts.count))),
                     pa.array(np.bincount(owner, minlength=texts.count)),
-                    pa.FixedSizeBinaryArray.from_buffers(pa.binary(MAP_BITS // 8), texts.count, [None, pa.py_buffer(maps.tobytes())]).cast(pa.binary()),
+                    parity_maps(features, owner, texts.count),
                 ],
                 ["doc_id", "set_id", "n", "map"],
             )
@@ -183,8 +213,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
-            maps = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("map_a", "map_b")]
-            apart = np.bitwise_count(maps[0] ^ maps[1]).sum(axis=1)
+            apart = map_distances(batch["map_a"].to_pylist(), batch["map_b"].to_pylist())
             yield batch.select(["a", "b", "doc_a", "doc_b"]).filter(pa.array(apart <= batch["most"].to_numpy()))
 
     return arrow_step(
@@ -226,18 +255,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
         .join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     )
 
-    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        last, known = None, set()
-        keep = []
-        for name, one, two in zip(batch["a"].to_pylist(), batch["text_a"], batch["text_b"], strict=True):
-            if name != last:
-                last, known = name, word_shingles(one.as_py(), size)
-            other = word_shingles(two.as_py(), size)
-            met = len(known & other)
-            keep.append(100 * met >= percent * (len(known) + len(other) - met))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held = {}, 0
+
+        def known(name: int, text: pa.Scalar) -> set[bytes]:
+            nonlocal held
+            found = kept.pop(name, None)
+            if found is None:
+                found = word_shingles(text.as_py(), size)
+                held += len(found)
+            # The one used last stands last; the first ones make room.
+            kept[name] = found
+            while held > KEPT_SHINGLES and len(kept) > 2:
+                held -= len(kept.pop(next(iter(kept))))
+            return found
+
+        for batch in batches:
+            keep = []
+            for a, b, text_a, text_b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["text_a"], batch["text_b"], strict=True):
+                one, two = known(a, text_a), known(b, text_b)
+                met = len(one & two)
+                keep.append(100 * met >= percent * (len(one) + len(two) - met))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return arrow_step(rows.select("a", "b", "text_a", "text_b"), step, "a long, b long")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> DataFrame:
@@ -249,7 +290,13 @@ def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> Dat
     def pairs_of(group: list[tuple], rectangle: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block = np.array([g[0] for g in group])
         member, root, n = (np.array([g[k] for g in group], np.int64) for k in (1, 2, 3))
-        maps = np.frombuffer(b"".join(g[4] for g in group), np.uint64).reshape(len(group), -1)
+        # All sets of a signature are of like size, so their maps are of one or two lengths.
+        lengths = np.array([len(g[4]) for g in group])
+        size = int(lengths.min())
+        maps = np.empty((len(group), size // 8), np.uint64)
+        for length in np.unique(lengths):
+            of_length = np.flatnonzero(lengths == length)
+            maps[of_length] = folded([group[k][4] for k in of_length], size)
         for k in range(len(group) - 1):
             rest = slice(k + 1, None)
             most = (n[k] + n[rest]) * (100 - percent) // (100 + percent)
@@ -293,9 +340,8 @@ def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> Dat
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _remaining(docs: DataFrame, sets: DataFrame, tried: DataFrame, links: DataFrame, size: int, bands: Bands, nearest: int | None) -> DataFrame:
-    """Possible pairs that share a signature, lie in different components and weren't tried."""
-    percent = bands.percent
+def _owned(sets: DataFrame, tried: DataFrame, links: DataFrame) -> DataFrame:
+    """Sets with the root of their component, for the components that a comparison failed in."""
     roots = written(components(links), "roots")
     root_of = lambda c: F.coalesce(F.col(f"root_{c}"), F.col(c))
     failed = (
@@ -305,20 +351,33 @@ def _remaining(docs: DataFrame, sets: DataFrame, tried: DataFrame, links: DataFr
     )
     touched = written(failed.select(F.col("x").alias("root")).union(failed.select("y")).distinct(), "touched")
     owned = sets.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_id")).drop("node")
-    open_sets = written(owned.join(touched, "root", "left_semi").select("set_id", "doc_id", "root", "n", "map"), "open")
-    texts = _texts_of(docs, open_sets.select("set_id", "doc_id"), size)
+    return written(owned.join(touched, "root", "left_semi").select("set_id", "doc_id", "root", "n", "map"), "open")
+
+
+def _of_several(rows: DataFrame) -> DataFrame:
+    """Rows (sign, member, root, c) of the signatures that c sets of several components share."""
+    same = Window.partitionBy("sign")
+    return rows.select(
+        "sign", "member", "root", F.count("*").over(same).alias("c"), F.min("root").over(same).alias("r"), F.max("root").over(same).alias("s")
+    ).where("r < s").drop("r", "s")
+
+
+def _open_signatures(docs: DataFrame, open_sets: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """Rows (sign, member, root, c) of the open sets, signed anew."""
+    texts = _texts_of(docs, open_sets.select("set_id", "doc_id"), size).join(open_sets.select("set_id", "root"), "set_id")
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch["text"]):
             features, owner = shingles(part, size)
             sign, who = signatures(features, owner, part.count, bands)
-            ids = batch["set_id"].to_numpy()[part.first:part.first + part.count]
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(sign)), pa.array(ids[who])], ["sign", "member"])
+            ids, roots = (batch[c].to_numpy()[part.first:part.first + part.count] for c in ("set_id", "root"))
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(sign)), pa.array(ids[who]), pa.array(roots[who])], ["sign", "member", "root"])
+
+    return _of_several(arrow_step(texts, step, "sign long, member long, root long"))
 
-    signed = arrow_step(texts, step, "sign long, member long").join(
-        open_sets.select(F.col("set_id").alias("member"), "root"), "member").distinct()
-    mixed = signed.groupBy("sign").agg(F.count("*").alias("c"), F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
-    rows = written(signed.join(mixed.select("sign", "c"), "sign").select("sign", "member", "root", "c"), "mixed")
+
+def _remaining(rows: DataFrame, open_sets: DataFrame, sets: DataFrame, tried: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Possible pairs that share a signature, lie in different components and weren't tried."""
     few = rows.where(F.col("c") <= FEW).select("sign", "member", "root")
     by_id = few.join(few.select("sign", F.col("member").alias("b"), F.col("root").alias("root_b")), "sign").where("member < b and root <> root_b").select(F.col("member").alias("a"), "b")
     many = rows.where(F.col("c") > FEW).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).join(
@@ -349,8 +408,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     tried = written(_star_pairs(_signed_sets(docs, size, bands)), "candidates")
     links = written(_verified(written(_possible(tried, sets, percent), "possible"), docs, size, percent), "links")
     # First the nearest partners, which joins most of a group of near copies, then all that are left.
+    # Components only grow and only pairs of open sets are tried, so the second turn's shared
+    # signatures are among those of the first.
+    shared = None
     for nearest in (NEAREST, None):
-        more = written(_remaining(docs, sets, tried, links, size, bands, nearest), "possible")
+        open_sets = _owned(sets, tried, links)
+        if shared is None:
+            found = _open_signatures(docs, open_sets, size, bands)
+        else:
+            found = _of_several(shared.select("sign", "member").join(open_sets.select(F.col("set_id").alias("member"), "root"), "member"))
+        shared = written(found, "mixed")
+        more = written(_remaining(shared, open_sets, sets, tried, percent, nearest), "possible")
         links = written(links.union(_verified(more, docs, size, percent)), "links")
         tried = tried.select("a", "b").union(more.select("a", "b"))
     roots = components(links)
