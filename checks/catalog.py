@@ -18,7 +18,7 @@ from tachoflow.operators.silver import enrich
 from tachoflow.operators.staging import latest_wins, parse_payload, stage
 from tachoflow.plans.batch import build
 from tachoflow.plans.lake import Lake
-from tachoflow.schema import EVENT_KEY, STAGING_COLUMNS, TYRE_ARRAYS, TYRE_PRESSURES
+from tachoflow.schema import EVENT_KEY, PAYLOAD_TEXT, STAGING_COLUMNS, TYRE_ARRAYS, TYRE_PRESSURES, TYRE_TEMPS
 from tachoflow.session import scratch_dir
 from tachoflow.sources.bronze import load_bronze, scan_bronze
 from tachoflow.sources.jsonl import is_single_json, read_lines
@@ -27,7 +27,7 @@ from tachoflow.sources.sensors import sensor_payload, sensor_rows
 from tachoflow.streaming.dedup import current_rows, dedup_stream
 from tachoflow.streaming.ingest import consume_once
 from tachoflow.streaming.live import (
-    active_faults, append_stream, ingest_messages, stream_alerts, telemetry_live,
+    active_faults, append_stream, ingest_messages, split_messages, stream_alerts, telemetry_live,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +230,23 @@ def stg_parse(spark: SparkSession, folder: str) -> DataFrame:
     return _arrays_as_text(parse_payload(bronze(spark, folder)))
 
 
+def stg_parse_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages whose values are all quoted, a missing one being blank, among typed ones."""
+    rows = readings(spark, folder)
+    scalars = [
+        F.col(c) if c in ("timestamp", "drive_state", "fault_type")
+        else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+        for c in PAYLOAD_TEXT
+    ]
+    wheels = [
+        F.array(*[F.col(c).cast("string") for c in names]).alias(array)
+        for array, names in (("tyre_pressure", TYRE_PRESSURES), ("tyre_temp", TYRE_TEMPS))
+    ]
+    quoted = rows.where("id % 2 = 1").select(
+        "id", "ingested_at", F.to_json(F.struct(*scalars, *wheels)).alias("raw_data"))
+    return _arrays_as_text(parse_payload(sensor_payload(rows.where("id % 2 = 0")).union(quoted)))
+
+
 def stg_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _arrays_as_text(stage(bronze(spark, folder)))
 
@@ -338,6 +355,30 @@ def _drained(operator: Callable[[DataFrame], DataFrame], label: str) -> Query:
     return run
 
 
+def str_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Of every seven messages one is cut, one has text behind it, one a tick that does not fit."""
+    form, message = F.col("id") % 7, F.col("raw_data")
+    rows = sensor_payload(sensor_rows(_event_stream(spark, folder)))
+    sent = (
+        F.when(form == 0, F.expr("left(raw_data, length(raw_data) - 1)"))
+        .when(form == 1, F.concat(message, F.lit(" junk")))
+        .when(form == 2, F.regexp_replace(message, '"tick":[0-9]+', '"tick":"3.0"'))
+        .otherwise(message)
+    )
+    read, rejected = split_messages(rows.select(sent.alias("raw_data")), raw="raw_data")
+    distance = F.regexp_extract("raw_data", '"odometer_km":([-+.0-9E]+)', 1).cast("double")
+    sides = {
+        "read": read.select("odometer_km"),
+        "rejected": rejected.select(distance.alias("odometer_km")),
+    }
+    found = []
+    for side, stream in sides.items():
+        target = scratch_dir(spark, side)
+        append_stream(stream, target, scratch_dir(spark, f"{side}-checkpoint")).awaitTermination()
+        found.append(spark.read.schema(stream.schema).parquet(target).withColumn("side", F.lit(side)))
+    return found[0].unionByName(found[1])
+
+
 def str_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     target, checkpoint = scratch_dir(spark, "log"), scratch_dir(spark, "log-checkpoint")
     rows = sensor_rows(_event_stream(spark, folder))
@@ -384,6 +425,7 @@ def all_queries() -> dict[str, Query]:
         "src_empty_input": src_empty_input,
         "seed_drive_states": seed_labels,
         "stg_parse": stg_parse,
+        "stg_parse_text": stg_parse_text,
         "stg_dedup": stg_dedup,
     }
     found.update({name: _derived(columns) for name, columns in DERIVED.items()})
@@ -414,6 +456,7 @@ def all_queries() -> dict[str, Query]:
             lambda df: active_faults(df).select(*MESSAGE_COLUMNS), "faults"
         ),
         str_stream_alerts=_drained(stream_alerts, "alerts"),
+        str_quarantine=str_quarantine,
         str_stream_dedup=str_stream_dedup,
         rul_classify_fault=rul_classify_fault,
         rul_flags=rul_flags,

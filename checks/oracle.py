@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tachoflow.schema import FACT_COLUMNS, MEASUREMENTS
+from tachoflow.schema import FACT_COLUMNS, MEASUREMENTS, TYRE_PRESSURES, TYRE_TEMPS
 from tachoflow.sources.sensors import SENSOR_SQL
 
 from .catalog import DERIVED, MESSAGE_COLUMNS, READING_COLUMNS, SILVER_ADDED
@@ -199,7 +199,7 @@ union all select 'fact', 'accepted_values', 'speed_bucket', count(distinct speed
 STATISTICS = " union all ".join(
     f"select '{s}' as sensor, count({s}) as readings, min({s}) as min_value, max({s}) as max_value, "
     f"{_r(f'avg({s})', 4)} as mean_value, {_r(f'stddev_samp({s})', 4)} as stddev_value from stg"
-    for s in MEASUREMENTS
+    for s in (*MEASUREMENTS, *TYRE_PRESSURES, *TYRE_TEMPS)
 )
 FAULT_CODE = """case when engine_temp > 115 then 'ENGINE_OVERHEAT' when oil_pressure < 0.5 then 'LOW_OIL_PRESSURE'
   when battery_voltage < 10 then 'LOW_BATTERY' when fuel_level < 8 then 'LOW_FUEL'
@@ -249,6 +249,7 @@ def all_oracles() -> dict[str, str]:
             "(select drive_state, count(*) as n from fct group by drive_state) c using (drive_state)"
         ),
         "stg_parse": _query(_with_arrays("tel")),
+        "stg_parse_text": _query(_with_arrays("tel")),
         "stg_dedup": _query(_with_arrays("stg")),
         "silver_enrich": _query(f"select {_columns((*READING_COLUMNS, *SILVER_ADDED))} from sil"),
         "fct_vehicle_telemetry": _query("select * from fct"),
@@ -279,6 +280,9 @@ def all_oracles() -> dict[str, str]:
         "dq_sensor_statistics": _query(STATISTICS),
         "dq_duplicate_report": _query(DUPLICATES),
         "str_stream_ingest": _query(messages),
+        "str_quarantine": _query(
+            "select odometer_km, case when id % 7 < 3 then 'rejected' else 'read' end as side from tel"
+        ),
         "str_telemetry_live": _query(LIVE),
         "str_active_faults": _query(messages + " where fault_active"),
         "str_stream_alerts": _query(ALERTS, relation="tel"),

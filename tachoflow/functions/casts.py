@@ -1,6 +1,7 @@
 """Text to typed values, with the strictness of the payload contract.
 
-Each function takes and returns SQL text, for use in ``selectExpr`` or ``expr``.
+Each function takes and returns SQL text, for use in ``selectExpr`` or ``expr``. ``cast`` may
+be ``try_cast``, which gives NULL where the value does not fit.
 """
 
 from __future__ import annotations
@@ -18,21 +19,21 @@ def blank_to_null(text: str) -> str:
     return f"nullif({text}, '')"
 
 
-def to_double(text: str) -> str:
-    return f"cast({blank_to_null(text)} as double)"
+def to_double(text: str, cast: str = "cast") -> str:
+    return f"{cast}({blank_to_null(text)} as double)"
 
 
-def to_int(text: str) -> str:
-    return f"cast({blank_to_null(text)} as int)"
+def to_int(text: str, cast: str = "cast") -> str:
+    return f"{cast}({blank_to_null(text)} as int)"
 
 
-def to_boolean(text: str) -> str:
+def to_boolean(text: str, cast: str = "cast") -> str:
     """True/false words in any case; anything else fails under ANSI mode."""
     word = f"lower(trim({text}))"
     return (
         f"case when {word} in ({_words(TRUE_WORDS)}) then true "
         f"when {word} in ({_words(FALSE_WORDS)}) then false "
-        f"else cast({blank_to_null(text)} as boolean) end"
+        f"else {cast}({blank_to_null(text)} as boolean) end"
     )
 
 

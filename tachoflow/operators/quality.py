@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_up, share_percent
 from ..functions.ratings import HEALTH_ORDER, SPEED_ORDER
-from ..schema import EVENT_KEY, MEASUREMENTS
+from ..schema import EVENT_KEY, MEASUREMENTS, TYRE_PRESSURES, TYRE_TEMPS
 
 # The published checks.
 REQUIRED_IN_STAGING = ("timestamp", "tick", "rpm", "speed_kmh", "fuel_level")
@@ -52,37 +51,46 @@ def unexpected_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Da
     )
 
 
-def _check(df: DataFrame, table: str, check: str) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "column_name", "failures"
-    )
+def _null_sums(columns: Sequence[str]) -> list:
+    return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
 
 
-def _count_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(column).alias("column_name"), "failures"
-    )
+def _as_rows(totals: DataFrame, checks: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """One row per check (table, check, column, SQL of the failures) from one row of totals."""
+    rows = [
+        f"named_struct('table_name', '{table}', 'check_name', '{check}', 'column_name', '{column}', "
+        f"'failures', coalesce({failures}, 0L))"
+        for table, check, column, failures in checks
+    ]
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def quality_report(
-    staging: DataFrame, fact: DataFrame, categories: DataFrame | None = None
-) -> DataFrame:
+def quality_report(staging: DataFrame, fact: DataFrame) -> DataFrame:
     """All ten checks as ``(table_name, check_name, column_name, failures)``.
 
-    ``categories`` may be the rollup of the fact: it holds the same category values in
-    far fewer rows.
+    Two scans: staging is grouped by event key, the fact by its two categories; every check
+    of a table comes from those groups.
     """
-    categories = fact if categories is None else categories
-    parts = [
-        _check(_count_rows(duplicate_keys(staging, EVENT_KEY), ",".join(EVENT_KEY)),
-               "staging", "unique_combination"),
-        _check(null_counts(staging, REQUIRED_IN_STAGING), "staging", "not_null"),
-        _check(null_counts(fact, REQUIRED_IN_FACT), "fact", "not_null"),
-    ]
-    for column, accepted in ACCEPTED_IN_FACT.items():
-        found = unexpected_values(categories, column, accepted)
-        parts.append(_check(_count_rows(found, column), "fact", "accepted_values"))
-    return reduce(DataFrame.unionByName, parts)
+    keys = staging.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("rows"), *_null_sums(REQUIRED_IN_STAGING))
+    of_staging = keys.agg(
+        F.count_if(F.col("rows") > 1).alias("repeated"),
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in REQUIRED_IN_STAGING],
+    )
+    categories = fact.groupBy(*ACCEPTED_IN_FACT).agg(*_null_sums(REQUIRED_IN_FACT))
+    of_fact = categories.agg(
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in REQUIRED_IN_FACT],
+        *[
+            F.count_distinct(F.when(~F.col(c).isin(*accepted), F.col(c))).alias(f"unexpected_{c}")
+            for c, accepted in ACCEPTED_IN_FACT.items()
+        ],
+    )
+    return _as_rows(of_staging, [
+        ("staging", "unique_combination", ",".join(EVENT_KEY), "repeated"),
+        *[("staging", "not_null", c, f"null_{c}") for c in REQUIRED_IN_STAGING],
+    ]).unionByName(_as_rows(of_fact, [
+        *[("fact", "not_null", c, f"null_{c}") for c in REQUIRED_IN_FACT],
+        *[("fact", "accepted_values", c, f"unexpected_{c}") for c in ACCEPTED_IN_FACT],
+    ]))
 
 
 def tick_order(readings: DataFrame, chunks: int | None = None) -> DataFrame:
@@ -135,7 +143,7 @@ def drive_state_distribution(fact: DataFrame) -> DataFrame:
 
 def sensor_statistics(readings: DataFrame, sensors: Sequence[str] | None = None) -> DataFrame:
     """Count, extremes, mean and deviation per sensor, from one pass and one row of totals."""
-    sensors = [s for s in (sensors or MEASUREMENTS) if s in readings.columns]
+    sensors = [s for s in (sensors or (*MEASUREMENTS, *TYRE_PRESSURES, *TYRE_TEMPS)) if s in readings.columns]
     measures = {
         "readings": "count({0})",
         "min_value": "min({0})",

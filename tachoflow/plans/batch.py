@@ -55,7 +55,7 @@ def build(
     fact = lake.write("gold", FACT, gold.fct_vehicle_telemetry(silver))
     rollup = lake.write("gold", ROLLUP, gold.rollup_fact(fact))
     # Ten rows at most.
-    report = quality_report(staging, fact, categories=rollup).collect()
+    report = quality_report(staging, fact).collect()
     failed = [row for row in report if row["failures"]]
     if strict and failed:
         raise QualityError("; ".join(

@@ -9,17 +9,20 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import build_session, sizing_conf
 from ..sources.bronze import scan_bronze
-from ..sources.jsonl import stream_lines
+from ..sources.jsonl import WHITE_SPACE, stream_lines
 from ..streaming.ingest import consume_once
-from ..streaming.live import append_stream, ingest_messages, stream_alerts, telemetry_live
+from ..streaming.live import append_stream, split_messages, stream_alerts, telemetry_live
 from .batch import build
 from .lake import Lake
 
 RAW = "raw_events"
+#: Files a live batch takes, so that a first start does not take the whole backlog at once.
+FILES_PER_TRIGGER = 1_000
 
 
 def run_batch(spark: SparkSession, inbox: str, root: str, *, strict: bool = True) -> list:
@@ -34,12 +37,21 @@ def run_batch(spark: SparkSession, inbox: str, root: str, *, strict: bool = True
 
 
 def start_live(spark: SparkSession, inbox: str, root: str, **trigger) -> list[StreamingQuery]:
-    """Feed the live table and the alert table from arriving messages."""
-    readings = ingest_messages(stream_lines(spark, inbox))
-    sinks = {"telemetry_live": telemetry_live, "stream_alerts": stream_alerts}
+    """Feed the live table and the alert table from arriving messages.
+
+    Blank lines are left out. Messages that are no JSON or hold values of a wrong type go to
+    the table ``quarantine`` as they came.
+    """
+    lines = stream_lines(spark, inbox, FILES_PER_TRIGGER).where(F.btrim("value", F.lit(WHITE_SPACE)) != "")
+    readings, rejected = split_messages(lines)
+    sinks = {
+        "telemetry_live": telemetry_live(readings),
+        "stream_alerts": stream_alerts(readings),
+        "quarantine": rejected,
+    }
     return [
-        append_stream(operator(readings), f"{root}/live/{name}", f"{root}/_checkpoints/{name}", **trigger)
-        for name, operator in sinks.items()
+        append_stream(rows, f"{root}/live/{name}", f"{root}/_checkpoints/{name}", **trigger)
+        for name, rows in sinks.items()
     ]
 
 

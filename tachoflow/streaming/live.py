@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.silver import enrich
-from ..operators.staging import parse_payload
+from ..operators.staging import CASTABLE, parse_payload
+from ..sources.jsonl import is_single_json
 from ..schema import ALERT_COLUMNS, LIVE_COLUMNS, TYRE_PRESSURES, TYRE_TEMPS
 
 
@@ -16,6 +17,20 @@ def ingest_messages(messages: DataFrame, raw: str = "value") -> DataFrame:
     return parse_payload(messages.select(F.col(raw).alias("raw_data")))
 
 
+def split_messages(messages: DataFrame, raw: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Typed readings of the sound messages, and the others as ``raw_data``.
+
+    A message is sound if it is one JSON value whose values fit their types. A stream cannot
+    stop for a single bad message as a load does: it would meet it again on every restart.
+    """
+    text = messages.select(F.col(raw).alias("raw_data"), F.col(raw).alias("message_text"))
+    parsed = parse_payload(text, lenient=True)
+    sound = is_single_json(F.col("message_text")) & F.col(CASTABLE)
+    checked = parsed.withColumn("_sound", F.coalesce(sound, F.lit(False)))
+    good = checked.where("_sound").drop("_sound", CASTABLE, "message_text")
+    return good, checked.where("not _sound").select(F.col("message_text").alias("raw_data"))
+
+
 def telemetry_live(readings: DataFrame) -> DataFrame:
     return readings.select(*LIVE_COLUMNS)
 

@@ -92,6 +92,21 @@ def test_jobs_process_only_what_is_new(spark, tmp_path):
     assert (alert.tick, alert.engine_status, alert.severity, alert.min_tyre_pressure) == (2, "WARNING", "WARNING", 32.0)
 
 
+def test_live_survives_bad_messages(spark, tmp_path):
+    inbox, root = tmp_path / "in", str(tmp_path / "tables")
+    inbox.mkdir()
+    bad = ["{bad", _message(2, tick="3.0"), _message(3, gear="third"), _message(4) + " junk", _message(5, timestamp="noon")]
+    (inbox / "1.jsonl").write_text("\n".join([_message(1), "", *bad]) + "\n")
+    for lines in ([], [_message(6, rpm="1500.5", fuel_level="", ignition_on="on")]):
+        if lines:
+            (inbox / "2.jsonl").write_text("\n".join(lines))
+        for query in start_live(spark, str(inbox), root, availableNow=True):
+            query.awaitTermination()
+    live = {r.tick: r for r in spark.read.parquet(f"{root}/live/telemetry_live").collect()}
+    assert set(live) == {1, 6} and live[6].rpm == 1500.5
+    assert sorted(r.raw_data for r in spark.read.parquet(f"{root}/live/quarantine").collect()) == sorted(bad)
+
+
 def test_sizes_grow_with_the_input():
     small, large = sizing_conf(1 << 30), sizing_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"

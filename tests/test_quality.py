@@ -36,7 +36,10 @@ def test_report_has_ten_checks(spark):
         [(START, 1, "NORMAL", "city"), (START, None, "BAD", "city"), (START, 2, "WORSE", "moon")],
         "timestamp TIMESTAMP, tick INT, vehicle_health STRING, speed_bucket STRING",
     )
-    rows = quality.quality_report(staging, fact).collect()
+    report = quality.quality_report(staging, fact)
+    # One scan and one grouping of each table.
+    assert plan_of(report).count("Scan ExistingRDD") == 2
+    rows = report.collect()
     assert len(rows) == 10
     assert {(r.table_name, r.check_name, r.column_name): r.failures for r in rows if r.failures} == {
         ("staging", "unique_combination", "timestamp,tick"): 1,
