@@ -32,8 +32,21 @@ leaks as (select doc_id, item_id, any_value(total) as n_shingles, count(*) as n_
   group by doc_id, item_id, text having 100 * count(*) >= {percent} * any_value(total))"""
 
 
+_FILL_IN_MIDDLE = """with d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as t,
+  sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+e as (select *, len(t) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3,
+  ('0x' || h[25:32])::bigint as h4 from d),
+f as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+    when h4 % 100 < 20 then 'spm' else 'psm' end as form from e),
+g as (select *, array_to_string(t[1:a], '') as p, array_to_string(t[a + 1:b], '') as m, array_to_string(t[b + 1:n], '') as s from f)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end)
+    as output_sha256, sha256(text) as restored_sha256 from g"""
+
 ORACLES = {
     "op5_jaccard_join": f"""with recursive {near_duplicate_ctes(4, 85)}
 select sizes.doc_id, n as n_shingles, coalesce(component_id, sizes.doc_id) as component_id from sizes left join named using (doc_id)""",
+    "op12_fill_in_middle": _FILL_IN_MIDDLE,
     "op7_decontamination": f"with {containment_ctes(5, 80)} select * from leaks",
 }

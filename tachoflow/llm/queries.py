@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tachoflow.llm.decontamination import contaminated
+from tachoflow.llm.fill_in_middle import transformed
 from tachoflow.llm.html_extraction import main_text
 from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.lm_scoring import scored
@@ -69,10 +70,14 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return transformed(table(spark, folder, "documents"), with_output=False).drop("output")
+
+
 def all_queries() -> dict[str, Query]:
     found = (
         op1_quotation_linking, op2_lm_scoring, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
-        op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction,
+        op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction, op12_fill_in_middle,
     )
     return {f.__name__: f for f in found}
 
