@@ -44,9 +44,31 @@ select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_c
   sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end)
     as output_sha256, sha256(text) as restored_sha256 from g"""
 
+
+def clustering_sql(k: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
+    """k-means in whole numbers, one pair of ctes (nearest, centroids) per round."""
+    ctes = [f"""kept as materialized (select row_number() over () as r, vec_id, embedding as e from embeddings
+  where len(embedding) = {dimensions} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {dimensions}),
+v as materialized (select r, i, floor(256 * e[i]::double)::bigint as x from kept, range(1, {dimensions + 1}) t(i)),
+c0 as materialized (select n, i, x from v join (select r, row_number() over (order by sha256('2:' || coalesce(vec_id::varchar, ''))) - 1 as n from kept)
+  using (r) where n < {k})"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} as materialized (select r, min(d * {k} + n) as best from (select r, n, sum((v.x - c.x) * (v.x - c.x))::bigint as d
+  from v join c{t} c using (i) group by r, n) group by r)""")
+        if t < rounds:
+            ctes.append(f"""c{t + 1} as materialized (select n, i, coalesce(m, c.x) as x from c{t} c left join (select best % {k} as n, i,
+  floor(sum(x)::double / count(*))::bigint as m from a{t} join v using (r) group by 1, 2) using (n, i))""")
+    return f"""with {", ".join(ctes)},
+digests as (select n, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by n),
+done as (select vec_id, (best % {k})::int as cluster, best // {k} as distance from a{rounds} join kept using (r))
+select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia, (sum(distance) over ())::bigint as inertia,
+  centroid_sha256 from done join digests on n = cluster"""
+
+
 ORACLES = {
     "op5_jaccard_join": f"""with recursive {near_duplicate_ctes(4, 85)}
 select sizes.doc_id, n as n_shingles, coalesce(component_id, sizes.doc_id) as component_id from sizes left join named using (doc_id)""",
     "op12_fill_in_middle": _FILL_IN_MIDDLE,
+    "op13_centroid_clustering": clustering_sql(),
     "op7_decontamination": f"with {containment_ctes(5, 80)} select * from leaks",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tachoflow.llm.centroid_clustering import centroid_clusters
 from tachoflow.llm.decontamination import contaminated
 from tachoflow.llm.fill_in_middle import transformed
 from tachoflow.llm.html_extraction import main_text
@@ -74,10 +75,15 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return transformed(table(spark, folder, "documents"), with_output=False).drop("output")
 
 
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters(table(spark, folder, "embeddings"))
+
+
 def all_queries() -> dict[str, Query]:
     found = (
         op1_quotation_linking, op2_lm_scoring, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
         op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction, op12_fill_in_middle,
+        op13_centroid_clustering,
     )
     return {f.__name__: f for f in found}
 
