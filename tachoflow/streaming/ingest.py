@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..sources.bronze import FILES_PER_LOAD, load_files, new_files
+from ..sources.bronze import FILES_PER_LOAD, in_blocks, load_files, new_files
 
 
 def consume_once(
@@ -18,14 +18,11 @@ def consume_once(
 ) -> int:
     """Append the lines of all files not taken before; returns the number of rows.
 
-    The table's manifest remembers path, time and size of every file taken, so a file that
-    arrives late with an old time is taken, and so is a path that was filled again (as a
-    whole: what it repeats is resolved by de-duplication). A crash neither repeats nor loses
-    lines. A bad line fails the load before anything is committed, unless a ``quarantine``
-    path takes bad lines. Run one consumer of an inbox at a time.
+    The inbox is listed once a run. The table's manifest remembers path, time and size of every
+    file taken, so a file that arrives late with an old time is taken, and so is a path that was
+    filled again (as a whole: what it repeats is resolved by de-duplication). A crash neither
+    repeats nor loses lines. A bad line fails the load before anything is committed, unless a
+    ``quarantine`` path takes bad lines. Run one consumer of an inbox at a time.
     """
-    order = ["file_path"] if by_name else ["file_time", "file_path"]
-    rows = 0
-    while files := new_files(spark, inbox, table).orderBy(*order).limit(files_per_load).collect():
-        rows += load_files(spark, files, table, quarantine=quarantine)
-    return rows
+    blocks = in_blocks(new_files(spark, inbox, table), by_name, files_per_load)
+    return sum(load_files(spark, block, table, quarantine=quarantine) for block in blocks)

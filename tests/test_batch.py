@@ -12,7 +12,8 @@ from tachoflow.session import sizing_conf
 from tachoflow.sources.bronze import load_bronze, scan_bronze
 
 
-def _message(tick, **changes):
+def _message(number, /, **changes):
+    tick = number
     reading = {
         "timestamp": f"2024-05-01T10:00:{tick:02d}+00:00", "tick": tick, "rpm": 1500.0, "speed_kmh": 50.0,
         "engine_temp": 90.0, "oil_temp": 80.0, "oil_pressure": 2.0, "throttle": 10.0, "fuel_level": 50.0,
