@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import gold
 from ..operators.quality import quality_report
-from ..operators.silver import enrich
+from ..operators.silver import enrich, silver_sql
 from ..operators.staging import stage
 from ..schema import EVENT_KEY
 from ..sources.seeds import seed_drive_states
@@ -42,16 +42,25 @@ def build(
 ) -> list:
     """Rebuild every layer from bronze and return the ten check results.
 
-    One shuffle of full rows (the de-duplication), one scan of the fact for all eight
-    gold tables. ``strict`` stops before those tables are replaced if a check fails.
-    ``staging_buckets`` stores staging hashed by event key, which spares the uniqueness
-    check its shuffle.
+    One shuffle of full rows (the de-duplication), one scan of the fact for all eight gold
+    tables. All tables are written beside those in use; only when the checks have passed do
+    they replace them, together. ``strict`` stops before that if a check fails, and every old
+    table stays readable. ``staging_buckets`` stores staging hashed by event key, which spares
+    the uniqueness check its shuffle.
     """
     lake.create_schemas()
+    try:
+        return _build(lake, bronze, strict, (staging_buckets, EVENT_KEY) if staging_buckets else None)
+    except BaseException:
+        lake.discard()
+        raise
+
+
+def _build(lake: Lake, bronze: DataFrame, strict: bool, buckets: tuple | None) -> list:
     lake.write("silver", SEED, seed_drive_states(lake.spark))
-    buckets = (staging_buckets, EVENT_KEY) if staging_buckets else None
     staging = lake.write("silver", STAGING, stage(bronze), buckets)
-    silver = lake.view(SILVER, enrich(staging))
+    silver = enrich(staging)
+    lake.view("silver", SILVER, silver_sql("{staging}"), {"staging": ("silver", STAGING)})
     fact = lake.write("gold", FACT, gold.fct_vehicle_telemetry(silver))
     rollup = lake.write("gold", ROLLUP, gold.rollup_fact(fact))
     # Ten rows at most.
@@ -68,4 +77,6 @@ def build(
         ]
     for write in writes:
         write.result()
+    lake.publish()
+    lake.read("silver", SILVER).createOrReplaceTempView(SILVER)
     return report

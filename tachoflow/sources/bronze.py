@@ -186,8 +186,7 @@ def _write_run(rows: DataFrame, table: str, name: str) -> None:
 
 def remove_old_manifests(spark: SparkSession, table: str, seconds: float = 7 * 86_400) -> int:
     """Delete parts of the manifest that were merged into others so long ago; returns their number."""
-    live = set(_runs(spark, table))
-    gone = [remove_unused(spark, table, f"{table}/_{part}", live, seconds) for part in ("manifest", "folders")]
+    gone = [remove_unused(spark, table, f"{table}/_{part}", seconds) for part in ("manifest", "folders")]
     return len(gone[0])
 
 
