@@ -6,7 +6,10 @@ Decimals are shown as doubles.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +19,18 @@ from tachoflow.functions import ecu
 from tachoflow.operators import gold, quality
 from tachoflow.operators.silver import enrich
 from tachoflow.operators.staging import latest_wins, parse_payload, stage
-from tachoflow.plans.batch import build
+from tachoflow.plans.batch import SILVER, QualityError, build
 from tachoflow.plans.lake import Lake
 from tachoflow.schema import EVENT_KEY, PAYLOAD_TEXT, STAGING_COLUMNS, TYRE_ARRAYS, TYRE_PRESSURES, TYRE_TEMPS
 from tachoflow.session import scratch_dir
 from tachoflow.sources.bronze import load_bronze, scan_bronze
-from tachoflow.sources.jsonl import is_single_json, read_lines
+from tachoflow.sources.jsonl import invalid_lines, is_single_json, read_lines
 from tachoflow.sources.seeds import seed_drive_states
 from tachoflow.sources.sensors import sensor_payload, sensor_rows
 from tachoflow.streaming.dedup import current_rows, dedup_stream
 from tachoflow.streaming.ingest import consume_once
 from tachoflow.streaming.live import (
-    active_faults, append_stream, ingest_messages, split_messages, stream_alerts, telemetry_live,
+    active_faults, add_messages, append_stream, ingest_messages, live_stream, live_table, split_messages,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +211,50 @@ def _rename_as_before(spark: SparkSession, folder: str, names: list[str]) -> Non
         files.rename(hadoop.Path(f"{folder}/{now}"), hadoop.Path(f"{folder}/{before}"))
 
 
+#: Names that need care: blank, brackets, percent, hash, question mark, braces, star, plus, accent.
+ODD_NAMES = ("a b.jsonl", "p[1].jsonl", "x%y.jsonl", "h#1.jsonl", "q?z.jsonl", "b{1,2}.jsonl", "s*r.jsonl", "n+1.jsonl", "é%20.jsonl")
+
+
+def src_consume_odd_names(spark: SparkSession, folder: str) -> DataFrame:
+    """One file of every odd name, delivered in two goes."""
+    inbox, table = scratch_dir(spark, "odd-in"), scratch_dir(spark, "odd-out")
+    rows = sensor_payload(readings(spark, folder))
+    half = len(ODD_NAMES) // 2
+    for turn, names in enumerate((ODD_NAMES[:half], ODD_NAMES[half:])):
+        target = f"{inbox}/part={turn}"
+        own = rows.where(F.col("id") % 2 == turn).repartition(len(names), (F.col("id") / 2).cast("long"))
+        own.select("raw_data").write.text(target)
+        _rename_as_before(spark, target, names)
+        consume_once(spark, f"{inbox}/*", table)
+    return parse_payload(scan_bronze(spark, table)).select(*MESSAGE_COLUMNS)
+
+
+def src_concurrent_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Four loads at once into one table: every message once, every id once."""
+    table, rows = scratch_dir(spark, "meet-out"), readings(spark, folder)
+    inboxes = [scratch_dir(spark, f"meet-in-{turn}") for turn in range(4)]
+    for turn, inbox in enumerate(inboxes):
+        _write_messages(rows.where(F.col("id") % 4 == turn), inbox)
+    with ThreadPoolExecutor(4) as pool:
+        loaded = sum(pool.map(lambda inbox: load_bronze(spark, inbox, table, by_name=True), inboxes))
+    return scan_bronze(spark, table).agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("id").alias("ids"), F.lit(loaded).cast("long").alias("loaded"))
+
+
+def src_invalid_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight files with blank lines in between; of every 101 messages one is cut. Each bad line by its number."""
+    inbox = scratch_dir(spark, "numbered")
+    rows = bronze(spark, folder).where("raw_data is not null")
+    cut = F.when(F.col("id") % 101 == 7, F.expr("left(raw_data, length(raw_data) - 1)")).otherwise(F.col("raw_data"))
+    blank = F.array_repeat(F.lit("  "), (F.col("id") % 3).cast("int"))
+    lines = rows.select("id", (F.col("id") % 8).alias("part"), F.array_join(F.array_append(blank, cut), "\n").alias("line"))
+    lines.repartition(8, "part").sortWithinPartitions("part", "id").select("part", "line").write.partitionBy("part").text(inbox)
+    found = invalid_lines(read_lines(spark, f"{inbox}/*"))
+    part = F.regexp_extract("file_path", "part=([0-9]+)", 1).cast("long")
+    distance = F.regexp_extract("value", '"odometer_km":([-+.0-9E]+)', 1).cast("double")
+    return found.select(part.alias("part"), "line_number", distance.alias("odometer_km"))
+
+
 def src_empty_input(spark: SparkSession, folder: str) -> DataFrame:
     """A load of nothing adds nothing to a loaded table."""
     inbox, table = scratch_dir(spark, "empty-in"), scratch_dir(spark, "empty-out")
@@ -295,6 +342,40 @@ def _published(table: str) -> Query:
     return run
 
 
+def snk_lasting_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The silver view of a published lake, read by a session that did not build it."""
+    root = scratch_dir(spark, "view-lake")
+    build(Lake(spark, root=root), bronze(spark, folder), strict=False)
+    shown = Lake(spark.newSession(), root=root).read("silver", SILVER)
+    return shown.select(*READING_COLUMNS, *SILVER_ADDED)
+
+
+def snk_published_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A good build, one that fails its checks, and a second good one: what each version shows."""
+    lake, rows = Lake(spark, root=scratch_dir(spark, "versions")), bronze(spark, folder)
+    sound = rows.where("id % 109 <> 17 and id % 101 <> 7")
+    build(lake, sound.where("id % 2 = 0"))
+    try:
+        build(lake, rows)
+        raise AssertionError("readings without a value passed the checks")
+    except QualityError:
+        pass
+    build(lake, sound)
+    return as_doubles(reduce(DataFrame.unionByName, [
+        lake.read("gold", "agg_vehicle_health", version).withColumn("version", F.lit(turn))
+        for turn, version in enumerate(lake.versions())
+    ]).select("version", "vehicle_health", "telemetry_events"))
+
+
+def snk_layer_routing(spark: SparkSession, folder: str) -> DataFrame:
+    """Build into schemas of the catalog, one of them renamed, and read its tables by name."""
+    mark = uuid.uuid4().hex[:8]
+    names = {"bronze": f"raw_{mark}", "silver": f"clean_{mark}", "gold": f" marts_{mark} "}
+    build(Lake(spark, schemas=names), bronze(spark, folder), strict=False)
+    events = spark.table(f"clean_{mark}.int_events_enriched").groupBy("vehicle_health").agg(F.count(F.lit(1)).alias("silver_events"))
+    return as_doubles(spark.table(f"marts_{mark}.agg_vehicle_health").join(events, "vehicle_health"))
+
+
 # --- quality -------------------------------------------------------------------------
 
 
@@ -355,7 +436,22 @@ def _drained(operator: Callable[[DataFrame], DataFrame], label: str) -> Query:
     return run
 
 
-def str_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+def _live(folder_messages: DataFrame, spark: SparkSession, label: str) -> str:
+    """Run the live stream over messages (``raw_data``); returns the folder of its tables."""
+    target = scratch_dir(spark, label)
+    live_stream(folder_messages, target, scratch_dir(spark, f"{label}-checkpoint"), raw="raw_data").awaitTermination()
+    return target
+
+
+def _of_live(table: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        messages = sensor_payload(sensor_rows(_event_stream(spark, folder))).select("raw_data")
+        return live_table(spark, _live(messages, spark, table), table)
+
+    return run
+
+
+def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     """Of every seven messages one is cut, one has text behind it, one a tick that does not fit."""
     form, message = F.col("id") % 7, F.col("raw_data")
     rows = sensor_payload(sensor_rows(_event_stream(spark, folder)))
@@ -365,7 +461,11 @@ def str_quarantine(spark: SparkSession, folder: str) -> DataFrame:
         .when(form == 2, F.regexp_replace(message, '"tick":[0-9]+', '"tick":"3.0"'))
         .otherwise(message)
     )
-    read, rejected = split_messages(rows.select(sent.alias("raw_data")), raw="raw_data")
+    return rows.select(sent.alias("raw_data"))
+
+
+def str_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    read, rejected = split_messages(_damaged(spark, folder), raw="raw_data")
     distance = F.regexp_extract("raw_data", '"odometer_km":([-+.0-9E]+)', 1).cast("double")
     sides = {
         "read": read.select("odometer_km"),
@@ -379,6 +479,24 @@ def str_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def str_live_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """One query over damaged messages feeds three tables; what each of them holds."""
+    target = _live(_damaged(spark, folder), spark, "live-tables")
+    distance = F.regexp_extract("raw_data", '"odometer_km":([-+.0-9E]+)', 1).cast("double")
+    shown = {"telemetry_live": F.col("throttle"), "stream_alerts": F.col("speed_kmh"), "quarantine": distance}
+    parts = [live_table(spark, target, name).select(F.lit(name).alias("table_name"), value.alias("value")) for name, value in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def str_replayed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches that come again change no table, before and after their runs were merged."""
+    target = scratch_dir(spark, "replay")
+    messages = bronze(spark, folder)
+    for number in (*range(9), 0, 4, 8):
+        add_messages(messages.where(F.col("id") % 9 == number), number, target, raw="raw_data")
+    return live_table(spark, target, "stream_alerts")
+
+
 def str_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     target, checkpoint = scratch_dir(spark, "log"), scratch_dir(spark, "log-checkpoint")
     rows = sensor_rows(_event_stream(spark, folder))
@@ -422,6 +540,9 @@ def all_queries() -> dict[str, Query]:
         "src_last_line_wins": src_last_line_wins,
         "src_consume_once": src_consume_once,
         "src_consume_late_and_refilled": src_consume_late_and_refilled,
+        "src_consume_odd_names": src_consume_odd_names,
+        "src_concurrent_loads": src_concurrent_loads,
+        "src_invalid_lines": src_invalid_lines,
         "src_empty_input": src_empty_input,
         "seed_drive_states": seed_labels,
         "stg_parse": stg_parse,
@@ -439,6 +560,9 @@ def all_queries() -> dict[str, Query]:
     found.update({name: _of_fact(operator) for name, operator in GOLD_TABLES.items()})
     found.update({f"rollup_{name}": _of_rollup(operator) for name, operator in GOLD_TABLES.items()})
     found["snk_materialize_table"] = _published("agg_driving_behavior")
+    found["snk_lasting_view"] = snk_lasting_view
+    found["snk_published_versions"] = snk_published_versions
+    found["snk_layer_routing"] = snk_layer_routing
     found["snk_published_fact"] = _published("fct_vehicle_telemetry")
     found.update(
         dq_not_null=dq_not_null,
@@ -451,12 +575,14 @@ def all_queries() -> dict[str, Query]:
         dq_sensor_statistics=dq_sensor_statistics,
         dq_duplicate_report=dq_duplicate_report,
         str_stream_ingest=_drained(lambda df: df.select(*MESSAGE_COLUMNS), "ingest"),
-        str_telemetry_live=_drained(telemetry_live, "live"),
+        str_telemetry_live=_of_live("telemetry_live"),
         str_active_faults=_drained(
             lambda df: active_faults(df).select(*MESSAGE_COLUMNS), "faults"
         ),
-        str_stream_alerts=_drained(stream_alerts, "alerts"),
+        str_stream_alerts=_of_live("stream_alerts"),
         str_quarantine=str_quarantine,
+        str_live_tables=str_live_tables,
+        str_replayed_batch=str_replayed_batch,
         str_stream_dedup=str_stream_dedup,
         rul_classify_fault=rul_classify_fault,
         rul_flags=rul_flags,

@@ -230,6 +230,16 @@ select {_columns(MESSAGE_COLUMNS)} from (
   select *, row_number() over (partition by timestamp, tick order by id desc) as rn from tel) where rn = 1
 """
 
+# Builds from readings whose required values are all there; the first from every second one.
+VERSIONS = " union all ".join(
+    f"select {version} as version, vehicle_health, telemetry_events from (" + _query(
+        "select vehicle_health, count(*) as telemetry_events from fct group by vehicle_health",
+        "(select * exclude (rn) from (select *, row_number() over (partition by timestamp, tick order by ingested_at desc, id desc) as rn "
+        f"from tel where id % 109 <> 17 and id % 101 <> 7 and {condition}) where rn = 1)",
+    ) + ")"
+    for version, condition in enumerate(("id % 2 = 0", "true"))
+)
+
 
 def all_oracles() -> dict[str, str]:
     messages = f"select {_columns(MESSAGE_COLUMNS)} from tel"
@@ -243,6 +253,12 @@ def all_oracles() -> dict[str, str]:
         "src_last_line_wins": _query(LAST_LINE),
         "src_consume_once": _query(messages),
         "src_consume_late_and_refilled": _query(messages),
+        "src_consume_odd_names": _query(messages),
+        "src_concurrent_loads": _query("select count(*) as messages, count(*) as ids, count(*) as loaded from tel"),
+        "src_invalid_lines": _query(
+            "select id % 8 as part, line_number, odometer_km from (select *, row_number() over "
+            "(partition by id % 8 order by id) as line_number from tel) where id % 101 = 7"
+        ),
         "src_empty_input": _query("select count(*) as loaded, 0 as added from tel"),
         "seed_drive_states": _query(
             "select seed.*, n as events from " + SEED + " left join "
@@ -259,6 +275,12 @@ def all_oracles() -> dict[str, str]:
         "unpivot_subsystems": _query(TALL),
         "agg_from_messages": _query(AGG_VEHICLE_HEALTH),
         "snk_materialize_table": _query(AGG_DRIVING_BEHAVIOR),
+        "snk_lasting_view": _query(f"select {_columns((*READING_COLUMNS, *SILVER_ADDED))} from sil"),
+        "snk_published_versions": _query(VERSIONS),
+        "snk_layer_routing": _query(
+            f"select * from ({AGG_VEHICLE_HEALTH}) join (select vehicle_health, count(*) as silver_events from sil "
+            "group by vehicle_health) using (vehicle_health)"
+        ),
         "snk_published_fact": _query("select * from fct"),
         "dq_not_null": _query(_null_counts("tel", REQUIRED)),
         "dq_null_rows": _query("select id, timestamp, tick, rpm from tel where rpm is null"),
@@ -283,6 +305,12 @@ def all_oracles() -> dict[str, str]:
         "str_quarantine": _query(
             "select odometer_km, case when id % 7 < 3 then 'rejected' else 'read' end as side from tel"
         ),
+        "str_live_tables": _query(
+            "select 'telemetry_live' as table_name, throttle as value from tel where id % 7 > 2 "
+            "union all select 'stream_alerts', speed_kmh from tel where id % 7 > 2 and fault_active "
+            "union all select 'quarantine', odometer_km from tel where id % 7 < 3"
+        ),
+        "str_replayed_batch": _query(ALERTS, relation="tel"),
         "str_telemetry_live": _query(LIVE),
         "str_active_faults": _query(messages + " where fault_active"),
         "str_stream_alerts": _query(ALERTS, relation="tel"),

@@ -16,7 +16,7 @@ from ..session import build_session, sizing_conf
 from ..sources.bronze import scan_bronze
 from ..sources.jsonl import WHITE_SPACE, stream_lines
 from ..streaming.ingest import consume_once
-from ..streaming.live import append_stream, split_messages, stream_alerts, telemetry_live
+from ..streaming.live import live_stream
 from .batch import build
 from .lake import Lake
 
@@ -37,22 +37,13 @@ def run_batch(spark: SparkSession, inbox: str, root: str, *, strict: bool = True
 
 
 def start_live(spark: SparkSession, inbox: str, root: str, **trigger) -> list[StreamingQuery]:
-    """Feed the live table and the alert table from arriving messages.
+    """Feed the live table, the alert table and the quarantine from arriving messages, in one query.
 
     Blank lines are left out. Messages that are no JSON or hold values of a wrong type go to
-    the table ``quarantine`` as they came.
+    the table ``quarantine`` as they came. ``live_table`` reads the tables below ``root/live``.
     """
     lines = stream_lines(spark, inbox, FILES_PER_TRIGGER).where(F.btrim("value", F.lit(WHITE_SPACE)) != "")
-    readings, rejected = split_messages(lines)
-    sinks = {
-        "telemetry_live": telemetry_live(readings),
-        "stream_alerts": stream_alerts(readings),
-        "quarantine": rejected,
-    }
-    return [
-        append_stream(rows, f"{root}/live/{name}", f"{root}/_checkpoints/{name}", **trigger)
-        for name, rows in sinks.items()
-    ]
+    return [live_stream(lines.select("value"), f"{root}/live", f"{root}/_checkpoints/live", **trigger)]
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.silver import enrich
 from ..operators.staging import CASTABLE, parse_payload
-from ..sources.jsonl import is_single_json
 from ..schema import ALERT_COLUMNS, LIVE_COLUMNS, TYRE_PRESSURES, TYRE_TEMPS
+from ..sources.jsonl import is_single_json
+from .runs import RunTables, together
 
 
 def ingest_messages(messages: DataFrame, raw: str = "value") -> DataFrame:
@@ -17,8 +19,8 @@ def ingest_messages(messages: DataFrame, raw: str = "value") -> DataFrame:
     return parse_payload(messages.select(F.col(raw).alias("raw_data")))
 
 
-def split_messages(messages: DataFrame, raw: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Typed readings of the sound messages, and the others as ``raw_data``.
+def checked_messages(messages: DataFrame, raw: str = "value") -> DataFrame:
+    """Typed readings with the message itself as ``message_text`` and whether it is ``sound``.
 
     A message is sound if it is one JSON value whose values fit their types. A stream cannot
     stop for a single bad message as a load does: it would meet it again on every restart.
@@ -26,9 +28,21 @@ def split_messages(messages: DataFrame, raw: str = "value") -> tuple[DataFrame,
     text = messages.select(F.col(raw).alias("raw_data"), F.col(raw).alias("message_text"))
     parsed = parse_payload(text, lenient=True)
     sound = is_single_json(F.col("message_text")) & F.col(CASTABLE)
-    checked = parsed.withColumn("_sound", F.coalesce(sound, F.lit(False)))
-    good = checked.where("_sound").drop("_sound", CASTABLE, "message_text")
-    return good, checked.where("not _sound").select(F.col("message_text").alias("raw_data"))
+    return parsed.withColumn("sound", F.coalesce(sound, F.lit(False))).drop(CASTABLE)
+
+
+def split_messages(messages: DataFrame, raw: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Typed readings of the sound messages, and the others as ``raw_data``."""
+    checked = checked_messages(messages, raw)
+    return sound_readings(checked), rejected_messages(checked)
+
+
+def sound_readings(checked: DataFrame) -> DataFrame:
+    return checked.where("sound").drop("sound", "message_text")
+
+
+def rejected_messages(checked: DataFrame) -> DataFrame:
+    return checked.where("not sound").select(F.col("message_text").alias("raw_data"))
 
 
 def telemetry_live(readings: DataFrame) -> DataFrame:
@@ -55,6 +69,51 @@ def stream_alerts(readings: DataFrame) -> DataFrame:
     return rated.withColumn("severity", F.col("vehicle_health")).select(*ALERT_COLUMNS)
 
 
+#: Tables of the live stream and what each shows of the checked messages.
+LIVE_TABLES = {
+    "telemetry_live": lambda checked: telemetry_live(sound_readings(checked)),
+    "stream_alerts": lambda checked: stream_alerts(sound_readings(checked)),
+    "quarantine": rejected_messages,
+}
+
+
+def live_tables(spark: SparkSession, path: str) -> RunTables:
+    return RunTables(spark, path, {name: together for name in LIVE_TABLES})
+
+
+def live_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One table of the live stream, as of its last batch."""
+    return live_tables(spark, path).read(name)
+
+
+def add_messages(messages: DataFrame, batch_id: int, path: str, stream: str = "", raw: str = "value") -> None:
+    """Add one batch of messages to all live tables; the same batch again changes nothing.
+
+    The batch is read, checked and parsed once and kept for the three writes.
+    """
+    checked = checked_messages(messages, raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables = live_tables(messages.sparkSession, path)
+        tables.append({name: show(checked) for name, show in LIVE_TABLES.items()}, batch_id, stream)
+        tables.compact()
+    finally:
+        checked.unpersist()
+
+
+def live_stream(messages: DataFrame, path: str, checkpoint: str, raw: str = "value", **trigger) -> StreamingQuery:
+    """Feed all live tables from one stream of messages; default is to drain the source."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_messages(batch, batch_id, path, checkpoint, raw)
+
+    return (
+        messages.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append a stream to a Parquet table, exactly once; default is to drain the source."""
     return (
