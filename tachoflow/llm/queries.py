@@ -20,6 +20,7 @@ from tachoflow.llm.quotation_linking import reply_threads
 from tachoflow.llm.sentencepiece_codec import encoded
 from tachoflow.llm.tables import table
 from tachoflow.llm.token_attribution import section_token_counts
+from tachoflow.llm.toxicity import toxicity_scores
 from tachoflow.llm.weak_labels import quality_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return transformed(table(spark, folder, "documents"), with_output=False).drop("output")
 
@@ -82,7 +87,7 @@ def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     found = (
         op1_quotation_linking, op2_lm_scoring, op3_quality_classifier, op4_sentencepiece, op5_jaccard_join, op6_personal_data,
-        op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction, op12_fill_in_middle,
+        op7_decontamination, op8_token_counts, op9_quality_rules, op10_html_extraction, op11_toxicity, op12_fill_in_middle,
         op13_centroid_clustering,
     )
     return {f.__name__: f for f in found}
