@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tachoflow.llm.graph import components
 from tachoflow.llm.partenum import Bands, set_ids, signatures
-from tachoflow.llm.tables import arrow_step, broadcast_if_small, written
+from tachoflow.llm.tables import arrow_step, broadcast_if_small, release, written
 from tachoflow.llm.words import LOWER, U64, Texts, distinct_per_text, find_words, hash_words, mix, slices, windows
 
 #: Bits of the smallest and of the largest parity map; larger sets are filtered less sharply.
@@ -405,8 +405,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     members = written(_sets(docs, size), "sets")
     sets = members.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("map").alias("map"))
     sets = written(sets, "distinct-sets")
+    spark = docs.sparkSession
     tried = written(_star_pairs(_signed_sets(docs, size, bands)), "candidates")
-    links = written(_verified(written(_possible(tried, sets, percent), "possible"), docs, size, percent), "links")
+    release(spark)
+    likely = written(_possible(tried, sets, percent), "possible")
+    release(spark)
+    links = written(_verified(likely, docs, size, percent), "links")
+    release(spark)
     # First the nearest partners, which joins most of a group of near copies, then all that are left.
     # Components only grow and only pairs of open sets are tried, so the second turn's shared
     # signatures are among those of the first.
@@ -418,8 +423,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         else:
             found = _of_several(shared.select("sign", "member").join(open_sets.select(F.col("set_id").alias("member"), "root"), "member"))
         shared = written(found, "mixed")
+        release(spark)
         more = written(_remaining(shared, open_sets, sets, tried, percent, nearest), "possible")
+        release(spark)
         links = written(links.union(_verified(more, docs, size, percent)), "links")
+        release(spark)
         tried = tried.select("a", "b").union(more.select("a", "b"))
     roots = components(links)
     named = sets.select("set_id", "doc_id").join(roots, F.col("set_id") == F.col("node"))

@@ -1,20 +1,145 @@
-"""Modified Kneser-Ney trigram model over character classes.
+"""Modified Kneser-Ney trigram model over code points.
 
-Characters are read as UTF-8 bytes in SYMBOLS classes (letters without case, white space,
-digits, kinds of punctuation, lead bytes and the low half of continuation bytes), so a
-language has 64 ** 3 trigrams at most and the models of ``MODELS`` languages stay below
-MODELS * 64 ** 3 entries whatever the corpus holds.
+A code point below OWN is a symbol of its own, the others share OWN more by hash, so that a
+trigram packs into 36 bits. Trigrams begin with two line ends before each text. The counts come
+from Spark; a model is one array of its trigrams in ascending order with their log
+probabilities, and the same for pairs and single symbols, which answer for trigrams that never
+occurred.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 from tachoflow.llm.words import U64, mix
 
-SYMBOLS = 64
+OWN = 2048
+BITS = 12
 ORDER = 3
-GRAMS = SYMBOLS ** ORDER
+LINE_END = 10
+_M = (1 << BITS) - 1
+#: A trace of the next lower law stays, so that nothing is impossible where no discount is.
+TRACE = 0.001
+
+
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbol of every code point of some UTF-8 texts, and where each text begins (one more at the end)."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = data[at].astype(np.int64)
+    extra = (lead >= 0xC0).astype(np.int8) + (lead >= 0xE0) + (lead >= 0xF0)
+    point = np.where(extra == 0, lead, lead & (0x3F >> extra))
+    for k in (1, 2, 3):
+        follow = np.flatnonzero(extra >= k)
+        if len(follow):
+            after = data[np.minimum(at[follow] + k, len(data) - 1)].astype(np.int64)
+            point[follow] = point[follow] << 6 | after & 0x3F
+    high = point >= OWN
+    if high.any():
+        point[high] = OWN + (mix(point[high].astype(U64)) & U64(OWN - 1)).astype(np.int64)
+    return point, np.searchsorted(at, offsets)
+
+
+def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code of the trigram that ends at each code point of some texts, and where each text begins."""
+    symbol, first = symbols(data, offsets)
+    if not len(symbol):
+        return symbol, first
+    starts = first[:-1][first[:-1] < len(symbol)]
+    before = np.concatenate(([LINE_END], symbol[:-1]))
+    before[starts] = LINE_END
+    earlier = np.concatenate(([LINE_END], before[:-1]))
+    earlier[starts] = LINE_END
+    return (earlier << 2 * BITS) | (before << BITS) | symbol, first
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """Discounts for counts of 0, 1, 2 and 3 or more, from the counts of counts."""
+    n = np.array([np.count_nonzero(counts == k) for k in range(5)], float)
+    out = np.zeros(4)
+    if n[1]:
+        y = n[1] / (n[1] + 2 * n[2])
+        for k in (1, 2, 3):
+            out[k] = min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.0), k) if n[k] else out[k - 1]
+    return out
+
+
+class Level(NamedTuple):
+    """Grams of one length in ascending order with their probability; contexts with what they leave to the next lower law."""
+
+    grams: np.ndarray
+    probability: np.ndarray
+    contexts: np.ndarray
+    left: np.ndarray
+
+
+class Model(NamedTuple):
+    """Levels of 1, 2 and 3 symbols."""
+
+    levels: tuple[Level, ...]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted key in an ascending array, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _lower(levels: list[Level], gram: np.ndarray, length: int) -> np.ndarray:
+    """Probability of grams of this length under the levels up to it."""
+    if not length:
+        return np.full(len(gram), 1.0 / (2 * OWN))
+    level = levels[length - 1]
+    at, there = _find(level.grams, gram)
+    out = np.zeros(len(gram))
+    out[there] = level.probability[at[there]]
+    missing = np.flatnonzero(~there)
+    if len(missing):
+        shorter = _lower(levels, gram[missing] & ((1 << BITS * (length - 1)) - 1), length - 1)
+        place, known = _find(level.contexts, gram[missing] >> BITS)
+        weight = np.ones(len(missing))
+        weight[known] = level.left[place[known]]
+        out[missing] = weight * shorter
+    return out
+
+
+def fit(grams: np.ndarray, counts: np.ndarray) -> Model:
+    """Model from distinct trigrams in ascending order and how often each occurred."""
+    by_length = [(grams, counts.astype(float))]
+    for length in (2, 1):
+        # How many different symbols come before a shorter gram.
+        shorter, n = np.unique(by_length[0][0] & ((1 << BITS * length) - 1), return_counts=True)
+        by_length.insert(0, (shorter, n.astype(float)))
+    levels: list[Level] = []
+    for length, (gram, count) in enumerate(by_length, 1):
+        if not len(gram):
+            none = np.zeros(0)
+            levels.append(Level(gram, none, gram, none))
+            continue
+        taken = discounts(count)[np.minimum(count, 3).astype(np.int64)]
+        contexts, first = np.unique(gram >> BITS, return_index=True)
+        own = np.repeat(np.arange(len(contexts)), np.diff(np.append(first, len(gram))))
+        total = np.add.reduceat(count, first)
+        left = TRACE + (1 - TRACE) * np.add.reduceat(taken, first) / total
+        lower = _lower(levels, gram & ((1 << BITS * (length - 1)) - 1), length - 1)
+        levels.append(Level(gram, (1 - TRACE) * (count - taken) / total[own] + left[own] * lower, contexts, left))
+    return Model(tuple(levels))
+
+
+#: The model of no text: every symbol is equally likely.
+UNIFORM = fit(np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def log_probabilities(model: Model, codes: np.ndarray) -> np.ndarray:
+    """Natural log of p(last | first two) for every trigram."""
+    return np.log(_lower(list(model.levels), codes, ORDER))
+
+
+# Classes of bytes for hashed features; they aren't part of the model above.
+SYMBOLS = 64
 SPACE_SYMBOL, LINE_SYMBOL = 0, 1
 
 
@@ -38,7 +163,7 @@ CLASSES = _classes()
 
 
 def gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Code of the trigram that ends at each byte; two line ends stand before each text."""
+    """Code of the trigram of byte classes that ends at each byte; two line ends stand before each text."""
     symbol = CLASSES[data].astype(np.int64)
     if not len(symbol):
         return symbol
@@ -48,61 +173,3 @@ def gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     earlier = np.concatenate(([LINE_SYMBOL], before[:-1]))
     earlier[starts] = LINE_SYMBOL
     return (earlier << 12) | (before << 6) | symbol
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts for counts of 0, 1, 2 and 3 or more, from the counts of counts."""
-    n = np.array([np.count_nonzero(counts == k) for k in range(5)], float)
-    out = np.zeros(4)
-    if n[1]:
-        y = n[1] / (n[1] + 2 * n[2])
-        for k in (1, 2, 3):
-            out[k] = min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.0), k) if n[k] else out[k - 1]
-    return out
-
-
-def _level(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Interpolate one order with the next lower one; contexts lie on all axes but the last."""
-    d = discounts(counts)[np.minimum(counts, 3).astype(np.int64)]
-    total = counts.sum(axis=-1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        seen = np.where(total > 0, (counts - d) / total, 0)
-        left = np.where(total > 0, d.sum(axis=-1, keepdims=True) / total, 1.0)
-    return seen + left * lower
-
-
-def fit(counts: np.ndarray) -> np.ndarray:
-    """Natural log of p(last | first two) for every trigram, from its counts (GRAMS,)."""
-    cube = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype(float)
-    followers = (cube > 0).sum(axis=0).astype(float)
-    endings = (followers > 0).sum(axis=0).astype(float)
-    single = _level(endings, np.full(SYMBOLS, 1 / SYMBOLS))
-    # Without any discount an unseen gram would be impossible; a trace of the uniform law stays.
-    single = 0.999 * single + 0.001 / SYMBOLS
-    double = 0.999 * _level(followers, single) + 0.001 * single
-    return np.log(0.999 * _level(cube, double) + 0.001 * double).reshape(GRAMS)
-
-
-def hashed(model: int, grams: np.ndarray) -> np.ndarray:
-    return mix(U64(model * GRAMS) + grams.astype(U64))
-
-
-def sorted_arrays(models: list[np.ndarray], seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the seen grams of all models, ascending, with their values, and one row of
-    64 * 64 values a model for the grams that weren't seen."""
-    key = np.concatenate([hashed(k, np.flatnonzero(s)) for k, s in enumerate(seen)])
-    value = np.concatenate([m[s].astype(np.float32) for m, s in zip(models, seen, strict=True)])
-    order = np.argsort(key)
-    rest = np.stack([
-        np.where(s, np.inf, m).reshape(SYMBOLS, SYMBOLS, SYMBOLS).min(axis=0).reshape(-1) for m, s in zip(models, seen, strict=True)])
-    rest = np.where(np.isfinite(rest), rest, 0).astype(np.float32)
-    return key[order], value[order], rest
-
-
-def lookup(arrays: tuple[np.ndarray, np.ndarray, np.ndarray], model: int) -> np.ndarray:
-    """All GRAMS values of one model, by binary search in the sorted hashes."""
-    key, value, rest = arrays
-    gram = np.arange(GRAMS)
-    wanted = hashed(model, gram)
-    at = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
-    return np.where(key[at] == wanted, value[at], rest[model][gram % SYMBOLS ** 2]) if len(key) else rest[model][gram % SYMBOLS ** 2]

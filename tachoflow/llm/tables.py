@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results were written.
+
+    It does so once nothing on the driver refers to a step any more, which it notices when the
+    driver collects garbage; on a large heap that may be much later than the disks are full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def arrow_step(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Run a function from one record batch to any number of them over every batch."""
 
@@ -36,11 +47,6 @@ def arrow_step(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.Recor
     return df.mapInArrow(run, schema)
 
 
-def text_rows(df: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Only the named columns (key first), whatever else the table carries."""
-    return df.select(F.col(key).cast("long").alias(key), *(F.col(c) for c in columns))
-
-
 #: A side is broadcast only if its counted rows take no more than this.
 BROADCAST_BYTES = 64 << 20
 

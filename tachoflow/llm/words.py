@@ -140,10 +140,6 @@ def windows(hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray
     return mix(out[whole]), text[:n][whole]
 
 
-def per_text(values: np.ndarray, count: int) -> np.ndarray:
-    return np.bincount(values, minlength=count)
-
-
 def distinct_per_text(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of each text, ordered by text; the upper 64 - TEXT_BITS bits of a hash are kept."""
     keys = np.sort((text.astype(U64) << U64(64 - TEXT_BITS)) | (hashes >> U64(TEXT_BITS)))

@@ -1,11 +1,13 @@
 """Operators that look at one text after the other."""
 
 
+import random
 import re
 
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tachoflow.llm import kneser_ney as kn
@@ -13,7 +15,7 @@ from tachoflow.llm.boosting import Row, boost, sigmoid
 from tachoflow.llm.decontamination import contaminated, exact_shingles, folded
 from tachoflow.llm.personal_data import joined, personal_data, redacted
 from tachoflow.llm.quality_rules import quality_report
-from tachoflow.llm.words import find_words, hash_words, slices
+from tachoflow.llm.words import find_words, hash_words, mix, slices
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -114,14 +116,74 @@ def test_perplexity_band_rejects_noise(spark):
     assert all(kept[k] for k in range(60)) and not kept[100]
 
 
-def test_kneser_ney_sums_to_one():
-    counts = np.zeros(kn.GRAMS, np.int64)
-    for texts in slices(__import__("pyarrow").array(["the cat sat on the mat. " * 3, "ünïcode, ok?"])):
-        np.add.at(counts, kn.gram_codes(texts.data, texts.offsets), 1)
-    table = np.exp(kn.fit(counts)).reshape(-1, kn.SYMBOLS)
-    assert np.allclose(table.sum(axis=1), 1)
-    arrays = kn.sorted_arrays([kn.fit(counts)], [counts > 0])
-    assert np.allclose(kn.lookup(arrays, 0)[counts > 0], kn.fit(counts)[counts > 0], atol=1e-5)
+KN_TEXTS = ["the cat sat on the mat. " * 3, "ünïcode, 日本 🎉 ok?", "", "that hat", "\n\na"]
+
+
+def kneser_ney(texts):
+    """p(last | first two) by counting strings, with the same discounts and trace."""
+    def symbol(c):
+        return ord(c) if ord(c) < kn.OWN else kn.OWN + int(mix(np.array([ord(c)], np.uint64))[0]) % kn.OWN
+
+    grams = Counter()
+    for text in texts:
+        s = [10, 10, *map(symbol, text)]
+        grams.update(tuple(s[k:k + 3]) for k in range(len(s) - 2))
+    counts = {3: grams}
+    for n in (2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+
+    def law(gram):
+        if not gram:
+            return 1 / (2 * kn.OWN)
+        own = counts[len(gram)]
+        d = kn.discounts(np.array(list(own.values())))
+        same = {g: c for g, c in own.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return law(gram[1:])
+        total = sum(same.values())
+        left = kn.TRACE + (1 - kn.TRACE) * sum(d[min(c, 3)] for c in same.values()) / total
+        c = own.get(gram, 0)
+        return (1 - kn.TRACE) * (c - d[min(c, 3)] if c else 0) / total + left * law(gram[1:])
+
+    return grams, law
+
+
+def test_kneser_ney_equals_counted_strings():
+    texts = next(slices(pa.array(KN_TEXTS)))
+    codes, first = kn.trigrams(texts.data, texts.offsets)
+    assert np.diff(first).tolist() == [len(t) for t in KN_TEXTS]
+    model = kn.fit(*np.unique(codes, return_counts=True))
+    grams, law = kneser_ney(KN_TEXTS)
+    coded = [a << 24 | b << 12 | c for a, b, c in grams]
+    assert sorted(coded) == np.unique(codes).tolist()
+    asked = [*grams, (1, 2, 3), (ord("t"), ord("h"), 5), (5, ord("h"), ord("e")), (10, 10, 99), (7, 7, ord("a"))]
+    got = np.exp(kn.log_probabilities(model, np.array([a << 24 | b << 12 | c for a, b, c in asked])))
+    assert np.allclose(got, [law(g) for g in asked], rtol=1e-9)
+    for context in ((ord("t"), ord("h")), (ord("q"), ord("t")), (1, 1)):
+        every = (context[0] << 24 | context[1] << 12) + np.arange(1 << 12)
+        assert np.exp(kn.log_probabilities(model, every)).sum() == pytest.approx(1)
+    assert np.allclose(kn.log_probabilities(kn.UNIFORM, np.array([1, 2])), -np.log(4096))
+
+
+def test_bands_find_junk_alike_in_pieces(spark):
+    """Symbol junk, another language and changed word forms, among more clean texts of two languages."""
+    from tests.llm.conftest import words
+
+    rng = random.Random(5)
+    other = lambda k: " ".join("".join(rng.choice(("lo", "mi", "ka", "zu", "vo")) for _ in range(3)) for _ in range(150))
+    docs = [(k, words(k, 150), "en") for k in range(120)] + [(1000 + k, other(k), "xx") for k in range(60)]
+    docs += [(500 + k, words(600 + k, 150).replace(" ", "&& "), "en") for k in range(12)]
+    docs += [(2000 + k, other(k), "en") for k in range(5)] + [(3000 + k, words(k, 150), "xx") for k in range(5)]
+    docs += [(4000 + k, words(700 + k, 150), None) for k in range(30)]
+    rows = quality_report(spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)).collect()
+    kept = {r.doc_id: r.kept for r in rows}
+    assert not any(r.base_failed for r in rows)
+    share = lambda low, high: sum(kept[i] for i in kept if low <= i < high) / sum(low <= i < high for i in kept)
+    assert share(0, 500) > 0.97 and share(1000, 2000) > 0.95 and share(4000, 5000) > 0.9
+    assert share(500, 600) == share(2000, 3000) == share(3000, 4000) == 0
+    # Without the other language its verdicts stay as they were.
+    again = quality_report(spark.createDataFrame([d for d in docs if d[2] == "en"], "doc_id long, text string, lang string")).collect()
+    assert all(r.kept == kept[r.doc_id] for r in again)
 
 
 def test_decontamination(spark, edge_docs, no_docs):
