@@ -1,10 +1,11 @@
 """Pipeline from raw documents to encoded training texts.
 
 Each stage takes (spark, documents, folder of the tables) and works on all that its
-predecessor kept; all but the last return the columns of ``documents``. Decisions reach the
-rows by doc_id: rows that share an id stay if one of them is kept, rows without an id share
-one verdict as well, except in the near-duplicate stage, where they cannot be named and stay.
-Empty tables give empty results.
+predecessor kept; all but the last return the columns of ``documents``, whatever else the
+table carries. Decisions reach the rows by a 64-bit hash of what they rest on (doc_id and text,
+for the quality rules the language too), so rows that share an id, or have none, are decided
+each by its own text, and rows that are equal in these columns alike. Null ids and texts are
+values like others; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,59 +21,79 @@ from tachoflow.llm.sentencepiece_codec import encoded
 from tachoflow.llm.tables import broadcast_if_small, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Hash of what a decision rests on.
+KEY = "_decided_by"
 
 
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id isn't among the rejected ones (column ``rejected_id``)."""
-    ids = broadcast_if_small(written(rejected, "rejected"), 32)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text", *more))
+
+
+def _by_key(keyed: DataFrame, *columns: str) -> DataFrame:
+    """The rows as an operator reads them, with the key in the place of the id."""
+    return keyed.select(F.col(KEY).alias("doc_id"), *columns)
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose key isn't among the rejected ones (column KEY)."""
+    keys = broadcast_if_small(written(rejected.distinct(), "rejected"), 32)
+    return keyed.join(keys, KEY, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and their language's perplexity band keep."""
-    docs = _documents(docs)
-    verdict = quality_report(docs).groupBy(F.col("doc_id").alias("rejected_id")).agg(F.max("kept").alias("kept"))
-    return _without(docs, verdict.where("not kept").select("rejected_id"))
+    """Documents that the base rules and their language's perplexity band keep.
+
+    A text that is null, empty or short goes. Repeated rows stay or go together.
+    """
+    keyed = _keyed(_documents(docs), "lang")
+    report = quality_report(_by_key(keyed, "text", "lang"))
+    return _without(keyed, report.where("not kept").select(F.col("doc_id").alias(KEY))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group with alike 5-word shingles (0.8 or more).
+    """One row of each group with alike 5-word shingles (0.8 or more): that of the smallest id.
 
-    A repeated row stays once. Texts without words are linked with nothing.
+    A row without an id stays only where no row of its group has one. Of several rows with the
+    id and text that stay, the one smallest in the other columns does. Texts without words are
+    linked with nothing, so all of them stay.
     """
-    docs = _documents(docs)
-    groups = written(jaccard_components(docs, size=5, percent=80), "groups").where("doc_id is not null")
-    per_id = written(groups.groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first")), "per-id")
-    kept = _without(docs, per_id.where("not first").select(F.col("doc_id").alias("rejected_id")))
-    again = per_id.where("first and n > 1").select(F.col("doc_id").alias("again_id"))
-    if not again.limit(1).count():
-        return kept
-    again = broadcast_if_small(again, 32)
-    same = F.col("doc_id") == F.col("again_id")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    keyed = _keyed(_documents(docs))
+    groups = written(jaccard_components(_by_key(keyed, "text"), size=5, percent=80), "groups")
+    groups = groups.where("n_shingles > 0").groupBy(F.col("doc_id").alias(KEY), "component_id").agg(F.count("*").alias("n"))
+    shared = groups.groupBy("component_id").agg(F.sum("n").alias("rows")).where("rows > 1").select("component_id")
+    several = written(groups.join(shared, "component_id"), "several")
+    ids = keyed.join(broadcast_if_small(several.select(KEY, "component_id"), 32), KEY).select(KEY, "component_id", "doc_id").distinct()
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY))[KEY].alias("first"))
+    decided = written(several.join(first, "component_id").select(KEY, "n", (F.col(KEY) == F.col("first")).alias("stays")), "decided")
+    kept = _without(keyed, decided.where("not stays").select(KEY))
+    again = broadcast_if_small(decided.where("stays and n > 1").select(KEY), 32)
+    one = kept.join(again, KEY, "left_semi").groupBy(KEY).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return kept.join(again, KEY, "left_anti").select(*COLUMNS).unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    docs = _documents(docs)
-    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select(F.col("doc_id").alias("rejected_id")).distinct())
+    """Documents that hold no benchmark item. Texts without words hold none; repeated rows stay or go together."""
+    keyed = _keyed(_documents(docs))
+    found = contaminated(_by_key(keyed, "text"), table(spark, sf_dir, "benchmark"))
+    return _without(keyed, found.select(F.col("doc_id").alias(KEY))).select(*COLUMNS)
 
 
 def personal_data_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind.
+
+    A null text stays null; repeated rows come out alike.
+    """
     docs = _documents(docs)
     out = redacted(docs, personal_data(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document."""
+    """Piece ids of every document; a null text has null ids, repeated rows come out alike."""
     return encoded(_documents(docs))
 
 
