@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tachoflow.functions import ecu
 from tachoflow.operators import gold, quality
 from tachoflow.operators.silver import enrich
-from tachoflow.operators.staging import latest_wins, parse_payload, stage
+from tachoflow.operators.staging import document_element, latest_wins, parse_payload, stage, with_documents
 from tachoflow.plans.batch import SILVER, QualityError, build
 from tachoflow.plans.lake import Lake
 from tachoflow.schema import EVENT_KEY, PAYLOAD_TEXT, STAGING_COLUMNS, TYRE_ARRAYS, TYRE_PRESSURES, TYRE_TEMPS
@@ -298,6 +298,33 @@ def stg_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _arrays_as_text(stage(bronze(spark, folder)))
 
 
+def stg_sub_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages whose tyre pressures are an array, an object, a number, a mixed array, a text, null or not there."""
+    form, one, two = F.col("id") % 7, F.col("tyre_pressure_fl"), F.col("tyre_pressure_fr")
+    text = F.concat(F.lit("t"), F.col("tick"))
+    forms = {
+        1: F.to_json(F.struct(F.struct(one.alias("front"), F.array(two).alias("rear")).alias("v"))),
+        2: F.to_json(F.struct(one.alias("v"))),
+        3: F.concat(F.lit('{"v":["x",'), two.cast("string"), F.lit(',null,{"k":[1]}]}')),
+        4: F.to_json(F.struct(text.alias("v"))),
+        5: F.lit('{"v":null}'),
+    }
+    rows = readings(spark, folder)
+    sent = F.col("raw_data")
+    for k, document in forms.items():
+        value = F.regexp_extract(document, r'^\{"v":(.*)\}$', 1)
+        changed = F.regexp_replace(F.col("raw_data"), F.lit(r'"tyre_pressure":\[[^\]]*\]'), F.concat(F.lit('"tyre_pressure":'), value))
+        sent = F.when(form == k, changed).otherwise(sent)
+    sent = F.when(form == 6, F.regexp_replace("raw_data", r',"tyre_pressure":\[[^\]]*\]', "")).otherwise(sent)
+    messages = sensor_payload(rows).join(rows.select("id", "tick", *TYRE_PRESSURES), "id").withColumn("raw_data", sent)
+    # The fourth wheel is missing in some readings, so whole arrays are compared by their first two elements.
+    found = with_documents(messages.select("id", "raw_data"), ["tyre_pressure"])
+    document = F.col("tyre_pressure_doc")
+    return found.select(
+        "id", F.when(F.col("id") % 7 != 0, F.to_json(document)).alias("document"), F.is_variant_null(document).alias("is_null"),
+        document_element("tyre_pressure_doc", 1).alias("second"), document_element("tyre_pressure_doc", 9).alias("tenth"))
+
+
 # --- silver --------------------------------------------------------------------------
 
 
@@ -548,6 +575,7 @@ def all_queries() -> dict[str, Query]:
         "stg_parse": stg_parse,
         "stg_parse_text": stg_parse_text,
         "stg_dedup": stg_dedup,
+        "stg_sub_documents": stg_sub_documents,
     }
     found.update({name: _derived(columns) for name, columns in DERIVED.items()})
     found.update(

@@ -230,6 +230,14 @@ select {_columns(MESSAGE_COLUMNS)} from (
   select *, row_number() over (partition by timestamp, tick order by id desc) as rn from tel) where rn = 1
 """
 
+# Numbers as JSON shows them, without a fraction of zero.
+ONE, TWO = (f"regexp_replace(cast(tyre_pressure_{w} as varchar), '\\.0$', '')" for w in ("fl", "fr"))
+DOCUMENTS = f"""
+select id, case id % 7 when 1 then '{{"front":' || {ONE} || ',"rear":[' || {TWO} || ']}}' when 2 then {ONE}
+    when 3 then '["x",' || {TWO} || ',null,{{"k":[1]}}]' when 4 then '"t' || tick || '"' when 5 then 'null' end as document,
+  id % 7 = 5 as is_null, case when id % 7 in (0, 3) then {TWO} end as second, cast(null as varchar) as tenth
+from tel
+"""
 # Builds from readings whose required values are all there; the first from every second one.
 VERSIONS = " union all ".join(
     f"select {version} as version, vehicle_health, telemetry_events from (" + _query(
@@ -267,6 +275,7 @@ def all_oracles() -> dict[str, str]:
         "stg_parse": _query(_with_arrays("tel")),
         "stg_parse_text": _query(_with_arrays("tel")),
         "stg_dedup": _query(_with_arrays("stg")),
+        "stg_sub_documents": _query(DOCUMENTS),
         "silver_enrich": _query(f"select {_columns((*READING_COLUMNS, *SILVER_ADDED))} from sil"),
         "fct_vehicle_telemetry": _query("select * from fct"),
         "share_of_total": _query(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import LIMBS, exact_sum, joined, limb_sums
 from ..functions.numeric import exact_mean, guarded_ratio, round_half_up, share_percent
 from ..functions.ratings import CRITICAL, HEALTH_ORDER, NORMAL, SPEED_ORDER, WARNING
 from ..schema import FACT_COLUMNS, SUBSYSTEM_STATUS
@@ -44,6 +45,10 @@ for _status in SUBSYSTEM_STATUS.values():
     FLAGS[f"{_status}_failing"] = f"{_status} <> '{NORMAL}'"
 
 
+# Whole numbers; all other sums are of doubles and made from exact parts.
+COUNTED = ("anomaly_count",)
+
+
 class FactMeasures:
     """SQL of aggregates over fact rows."""
 
@@ -53,13 +58,13 @@ class FactMeasures:
         return f"sum(case when {FLAGS[name]} then 1 else 0 end)"
 
     def total(self, name: str) -> str:
-        return f"sum({name})"
+        return f"sum({name})" if name in COUNTED else exact_sum(name)
 
     def known(self, name: str) -> str:
         return f"count({name})"
 
     def mean(self, name: str) -> str:
-        return f"avg({name})"
+        return guarded_ratio(self.total(name), self.known(name))
 
     def lowest(self, name: str) -> str:
         return f"min({name})"
@@ -77,7 +82,9 @@ class RollupMeasures:
         return f"sum({name}_events)"
 
     def total(self, name: str) -> str:
-        return f"sum({name}_sum)"
+        if name in COUNTED:
+            return f"sum({name}_sum)"
+        return joined([f"sum({name}_sum{k})" for k in range(LIMBS)])
 
     def known(self, name: str) -> str:
         return f"sum({name}_known)"
@@ -101,8 +108,12 @@ def rollup_fact(fact: DataFrame) -> DataFrame:
     m = FactMeasures()
     measures = {"events": m.events}
     measures |= {f"{flag}_events": m.flagged(flag) for flag in FLAGS}
-    for name in (*AVERAGED, "anomaly_count"):
-        measures |= {f"{name}_sum": m.total(name), f"{name}_known": m.known(name)}
+    for name in (*AVERAGED, *COUNTED):
+        measures |= {f"{name}_known": m.known(name)}
+        if name in COUNTED:
+            measures |= {f"{name}_sum": m.total(name)}
+        else:
+            measures |= {f"{name}_sum{k}": limb for k, limb in enumerate(limb_sums(name))}
     measures |= {f"{name}_min": m.lowest(name) for name in LOWEST}
     measures |= {f"{name}_max": m.highest(name) for name in HIGHEST}
     return fact.groupBy(*ROLLUP_KEYS).agg(*_columns(measures))

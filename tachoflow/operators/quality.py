@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_mean_of
 from ..functions.numeric import round_half_up, share_percent
 from ..functions.ratings import HEALTH_ORDER, SPEED_ORDER
 from ..schema import EVENT_KEY, MEASUREMENTS, TYRE_PRESSURES, TYRE_TEMPS
@@ -148,7 +149,7 @@ def sensor_statistics(readings: DataFrame, sensors: Sequence[str] | None = None)
         "readings": "count({0})",
         "min_value": "min({0})",
         "max_value": "max({0})",
-        "mean_value": round_half_up("avg({0})", 4),
+        "mean_value": round_half_up(exact_mean_of("{0}"), 4),
         "stddev_value": round_half_up("stddev_samp({0})", 4),
     }
     totals = readings.agg(

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import blank_to_null, to_boolean, to_double, to_doubles, to_int
@@ -111,6 +110,30 @@ def latest_wins(rows: DataFrame, key: Sequence[str] = EVENT_KEY) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def stage(bronze: DataFrame) -> DataFrame:
-    """Bronze rows to the staging table."""
-    return latest_wins(parse_payload(bronze)).select(*STAGING_COLUMNS)
+def document_column(name: str) -> str:
+    return f"{name}_doc"
+
+
+def with_documents(rows: DataFrame, names: Sequence[str] = TYRE_ARRAYS, raw: str = "raw_data") -> DataFrame:
+    """Add the sub-documents of the message below these keys as they came, as VARIANT columns ``<name>_doc``.
+
+    An array of numbers, a mixed array, an object, a text, a number and a JSON null all stay
+    what they are; a missing key gives NULL, as does a message that cannot be read. A key that
+    comes twice counts by its last value, given ``spark.sql.variant.allowDuplicateKeys``.
+    """
+    message = rows.withColumn("_message", F.try_parse_json(raw))
+    documents = {document_column(name): F.try_variant_get("_message", f"$.{name}", "variant") for name in names}
+    return message.select(*rows.columns, *(value.alias(name) for name, value in documents.items()))
+
+
+def document_element(document: str, place: int, kind: str = "string") -> Column:
+    """Element of an array sub-document (from zero), NULL beyond its end and for anything but an array."""
+    return F.try_variant_get(document, f"$[{place}]", kind)
+
+
+def stage(bronze: DataFrame, *, documents: bool = False) -> DataFrame:
+    """Bronze rows to the staging table; with ``documents`` the sub-documents come along, which costs a second parse."""
+    if not documents:
+        return latest_wins(parse_payload(bronze)).select(*STAGING_COLUMNS)
+    staged = latest_wins(parse_payload(with_documents(bronze)))
+    return staged.select(*STAGING_COLUMNS, *map(document_column, TYRE_ARRAYS))

@@ -38,7 +38,7 @@ class QualityError(RuntimeError):
 
 
 def build(
-    lake: Lake, bronze: DataFrame, *, strict: bool = True, staging_buckets: int | None = None
+    lake: Lake, bronze: DataFrame, *, strict: bool = True, staging_buckets: int | None = None, documents: bool = False
 ) -> list:
     """Rebuild every layer from bronze and return the ten check results.
 
@@ -46,19 +46,20 @@ def build(
     tables. All tables are written beside those in use; only when the checks have passed do
     they replace them, together. ``strict`` stops before that if a check fails, and every old
     table stays readable. ``staging_buckets`` stores staging hashed by event key, which spares
-    the uniqueness check its shuffle.
+    the uniqueness check its shuffle; ``documents`` keeps the tyre sub-documents in it as they
+    came.
     """
     lake.create_schemas()
     try:
-        return _build(lake, bronze, strict, (staging_buckets, EVENT_KEY) if staging_buckets else None)
+        return _build(lake, stage(bronze, documents=documents), strict, (staging_buckets, EVENT_KEY) if staging_buckets else None)
     except BaseException:
         lake.discard()
         raise
 
 
-def _build(lake: Lake, bronze: DataFrame, strict: bool, buckets: tuple | None) -> list:
+def _build(lake: Lake, staged: DataFrame, strict: bool, buckets: tuple | None) -> list:
     lake.write("silver", SEED, seed_drive_states(lake.spark))
-    staging = lake.write("silver", STAGING, stage(bronze), buckets)
+    staging = lake.write("silver", STAGING, staged, buckets)
     silver = enrich(staging)
     lake.view("silver", SILVER, silver_sql("{staging}"), {"staging": ("silver", STAGING)})
     fact = lake.write("gold", FACT, gold.fct_vehicle_telemetry(silver))

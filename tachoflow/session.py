@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A key that comes twice in a message counts by its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM never compiles a method above this size; such stages run as smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python line of every column costs several driver calls per column.

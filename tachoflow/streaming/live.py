@@ -89,8 +89,12 @@ def live_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def add_messages(messages: DataFrame, batch_id: int, path: str, stream: str = "", raw: str = "value") -> None:
     """Add one batch of messages to all live tables; the same batch again changes nothing.
 
-    The batch is read, checked and parsed once and kept for the three writes.
+    The batch is read, checked and parsed once and kept for the three writes. A batch of few
+    files is dealt out to all cores first: checking costs far more than moving the text.
     """
+    cores = messages.sparkSession.sparkContext.defaultParallelism
+    if messages.rdd.getNumPartitions() < cores:
+        messages = messages.repartition(cores)
     checked = checked_messages(messages, raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables = live_tables(messages.sparkSession, path)
