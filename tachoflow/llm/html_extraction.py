@@ -7,9 +7,11 @@ give the probability that a node is content, exactly. Runs of PROBABLE at least
 
 Labelled pages are those that mark their main text themselves (an ``article`` or ``main``
 element): what lies inside it is content. All of them are counted; the tables have a few
-dozen rows. What is never content (menus, footers, forms, hidden or advertising blocks) is
-known by its element or by words of its class, is counted as not content and stands outside
-the tree when a page is read. The counts of Laplace's kind in PRIOR keep every potential
+dozen rows. What is never content (menus, footers, hidden blocks) is known by its element, is
+counted as not content and stands outside the tree when a page is read. So are forms and blocks
+whose class has a word for adverts, notices and the like, but only where they hold less than
+half of the text around them: a body that is one form, or "content no-sidebar", is left to the
+model. The counts of Laplace's kind in PRIOR keep every potential
 away from 0, so that pages without such marks are judged by length, links and sentence ends.
 """
 
@@ -58,21 +60,39 @@ LEAST_EDGE = 0.002
 MARKED = -500.0
 
 
-def never(tag: str, attributes: str, in_main: bool = False) -> bool:
-    """Whether an element is known not to be content, with all in it."""
+def never(tag: str, attributes: str, in_main: bool = False, minor: bool = True) -> bool:
+    """Whether an element is known not to be content, with all in it; ``minor``: it holds less than half of the text around it."""
     if tag in NEVER or (tag == "header" and not in_main):
-        return True
+        return minor or tag != "form"
     if tag in MAIN or tag in ("html", "body", "#root") or not _NAMED.search(attributes):
         return False
     node = Node(tag, attributes)
     if node.attribute("hidden") is not None or node.attribute("aria-hidden") == "true" or _HIDDEN.search(node.attribute("style") or ""):
         return True
+    if not minor:
+        return False
     if (node.attribute("role") or "").lower() in BAD_ROLES:
         return True
     names = f"{node.attribute('class') or ''} {node.attribute('id') or ''}"
     return any(w.lower() in BAD_WORDS for w in _WORD.findall(names))
 
 
+def text_sizes(root: Node) -> dict[int, int]:
+    """Characters of text in every element, by identity."""
+    order = [root]
+    for node in order:
+        order += node.children
+    sizes = {id(node): len(node.text) for node in order}
+    for node in reversed(order[1:]):
+        sizes[id(node.parent)] += sizes[id(node)]
+    return sizes
+
+
+def left_out(child: Node, inside: bool, around: int, sizes: dict[int, int]) -> bool:
+    """Whether a child stands outside the tree; around: characters of the main element it lies in, or of the page."""
+    return child.tag is not None and never(child.tag, child.attributes, inside, 2 * sizes[id(child)] < around)
+
+
 def features(node: Node) -> list[tuple[str, int]]:
     if node.tag is None:
         length = (len(node.text) > 25) + (len(node.text) > 80) + (len(node.text) > 200)
@@ -92,18 +112,19 @@ def count_page(root: Node, counts: Counter) -> None:
     """Add the feature and edge counts of a labelled page; a page without marks adds nothing."""
     seen: list[tuple[str, int, int]] = []
     marked = False
-    # (node, inside main, known not to be content)
-    stack = [(root, False, False)]
+    sizes = text_sizes(root)
+    # (node, inside main, known not to be content, characters around)
+    stack = [(root, False, False, sizes[id(root)])]
     while stack:
-        node, inside, out = stack.pop()
+        node, inside, out, around = stack.pop()
         label = int(inside and not out)
         seen += [(name, value, label) for name, value in features(node)]
         for child in node.children:
             child_in = inside or child.tag in MAIN
-            child_out = out or (child.tag is not None and never(child.tag, child.attributes, inside))
+            child_out = out or left_out(child, inside, around, sizes)
             marked |= child.tag in MAIN
             seen.append(("edge", label, int(child_in and not child_out)))
-            stack.append((child, child_in, child_out))
+            stack.append((child, child_in, child_out, sizes[id(child)] if child.tag in MAIN else around))
     if marked:
         counts.update(seen)
 
@@ -134,17 +155,19 @@ class Model:
 
     def content(self, root: Node) -> list[str]:
         """Text runs in page order whose content marginal is PROBABLE or more."""
-        order: list[tuple[Node, int, bool]] = []
-        stack = [(root, -1, False)]
+        order: list[tuple[Node, int]] = []
+        sizes = text_sizes(root)
+        stack = [(root, -1, False, sizes[id(root)])]
         while stack:
-            node, parent, inside = stack.pop()
+            node, parent, inside, around = stack.pop()
             place = len(order)
-            order.append((node, parent, inside))
-            inside = inside or node.tag in MAIN
-            stack += [(c, place, inside) for c in reversed(node.children) if c.tag is None or not never(c.tag, c.attributes, inside)]
+            order.append((node, parent))
+            if node.tag in MAIN:
+                inside, around = True, sizes[id(node)]
+            stack += [(c, place, inside, around) for c in reversed(node.children) if not left_out(c, inside, around, sizes)]
         (e00, e01), (e10, e11) = self.given["edge"]
         # Upward: what a node and all below it say, for either label of the node.
-        up = [self.own(node) for node, _, _ in order]
+        up = [self.own(node) for node, _ in order]
         message = [(0.0, 0.0)] * len(order)
         for k in range(len(order) - 1, 0, -1):
             a, b = up[k]
@@ -202,7 +225,7 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     n_chars.
 
     A null or empty page, or one without content, has an empty text. Broken pages are read as
-    far as they go. Repeated rows give repeated rows. No rows give no rows.
+    far as they go, very long ones whole. Repeated rows give repeated rows. No rows give no rows.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     shared = pages.sparkSession.sparkContext.broadcast((model or fit(pages)).given)

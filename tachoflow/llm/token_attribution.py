@@ -86,11 +86,13 @@ def section_token_counts(docs: DataFrame, sections: str | None = None, rule: str
     array<struct<start, end>> in characters (end exclusive); without it the lines are the
     sections. Other columns are ignored. Returns a row per section: doc_id, section (its
     place, from 0, ordered by start), n_bytes, n_tokens and n_crossing (tokens counted here
-    that reach over a border), and a row with section -1 where tokens lie outside all.
+    that reach over a border), and a row with section -1 where tokens lie outside all, with the
+    bytes that no section holds.
 
     A null text has one row with a null section and no tokens; an empty text has one empty
     line. Null sections are none; spans are cut to the text, null ends and empty spans stay
-    with 0 tokens. Repeated rows give repeated counts.
+    with 0 tokens. Repeated rows give repeated counts, equal sections share their tokens by
+    place (the last one has them). Texts of any length are encoded whole. No rows give no rows.
     """
     if rule not in ("start", "majority"):
         raise ValueError("rule is start or majority")
@@ -113,7 +115,9 @@ def section_token_counts(docs: DataFrame, sections: str | None = None, rule: str
         n = len(start)
         counts = np.bincount(owner + 1, minlength=n + 1)
         crossed = np.bincount(owner[crossing] + 1, minlength=n + 1)
-        size = np.append(len(data) - (end - start).sum() if by_line or not n else 0, end - start)
+        # Bytes in no section: sections may overlap, so each counts from where those before it end.
+        before = np.maximum.accumulate(np.append(0, end))[:-1]
+        size = np.append(len(data) - np.maximum(end - np.maximum(start, before), 0).sum(), end - start)
         keep = np.append(counts[0] > 0, np.ones(n, bool))
         return np.arange(-1, n)[keep], size[keep], counts[keep], crossed[keep]
 
