@@ -167,21 +167,19 @@ def _checked(spark: SparkSession, files: Sequence[Row], ends: dict[str, int], fo
 def _commit(spark: SparkSession, table: str, parts: DataFrame) -> None:
     """Make a part of the manifest count, and merge parts where a level is full."""
     run = {"name": new_run(), "level": 0}
-    _write_run(parts.coalesce(1), table, run["name"])
+    _write_run(parts, parts.coalesce(1).sortWithinPartitions("folder", "file_path"), table, run["name"])
     change_state(spark, table, lambda s: {**s, "runs": [*s.get("runs", []), run]})
     while full := runs_to_merge(read_state(spark, table)[1]["runs"]):
         merged = {"name": new_run(), "level": full[0]["level"] + 1}
         rows = spark.read.schema(MANIFEST_DDL).parquet(*[f"{table}/_manifest/{r['name']}" for r in full])
-        _write_run(rows, table, merged["name"])
+        _write_run(rows, rows.sort("folder", "file_path"), table, merged["name"])
         replace_runs(spark, table, full, merged)
 
 
-def _write_run(rows: DataFrame, table: str, name: str) -> None:
-    """Files in the order of their folders, so that a filter on folders skips most of them."""
-    path = f"{table}/_manifest/{name}"
-    rows.sort("folder", "file_path").write.parquet(path)
-    files = rows.sparkSession.read.schema(MANIFEST_DDL).parquet(path)
-    _summary(files).coalesce(1).write.parquet(f"{table}/_folders/{name}")
+def _write_run(rows: DataFrame, ordered: DataFrame, table: str, name: str) -> None:
+    """Files in the order of their folders, so that a filter on folders skips most of them, and the summary."""
+    ordered.write.parquet(f"{table}/_manifest/{name}")
+    _summary(rows).coalesce(1).write.parquet(f"{table}/_folders/{name}")
 
 
 def remove_old_manifests(spark: SparkSession, table: str, seconds: float = 7 * 86_400) -> int:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tachoflow.operators.staging import latest_wins, parse_payload, stage
+from tachoflow.operators.staging import document_element, latest_wins, parse_payload, stage, with_documents
 from tachoflow.schema import STAGING_COLUMNS
 
 TIME = "2024-05-01T10:00:00.123456+00:00"
@@ -121,3 +121,40 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
     assert result.count() == 20001
     assert result.where("timestamp is null").first().id == 29997
+
+
+DOCUMENTS = [
+    ('{"tyre_pressure":[32.0,31.45,null],"tick":1}', "[32,31.45,null]", "31.45", False),
+    ('{"tyre_pressure":{"rear":[2.5],"front":1},"tick":2}', '{"front":1,"rear":[2.5]}', None, False),
+    ('{"tyre_pressure":5}', "5", None, False),
+    ('{"tyre_pressure":"flat"}', '"flat"', None, False),
+    ('{"tyre_pressure":["x",true,{"k":[1]}]}', '["x",true,{"k":[1]}]', "true", False),
+    ('{"tyre_pressure":null}', "null", None, True),
+    ('{"tyre_pressure":[1],"tyre_pressure":[1,2]}', "[1,2]", "2", False),
+    ('{"tick":1}', None, None, False), ("[1,2]", None, None, False), ("5", None, None, False), ("{bad", None, None, False), (None, None, None, False),
+]
+
+
+def test_sub_documents_stay_as_they_came(spark):
+    rows = spark.createDataFrame([(k, text) for k, (text, *_) in enumerate(DOCUMENTS)], "id INT, raw_data STRING")
+    found = with_documents(rows, ["tyre_pressure"])
+    assert found.columns == ["id", "raw_data", "tyre_pressure_doc"]
+    shown = found.select("id", F.to_json("tyre_pressure_doc").alias("text"), document_element("tyre_pressure_doc", 1).alias("second"),
+                         F.is_variant_null("tyre_pressure_doc").alias("is_null"), document_element("tyre_pressure_doc", 9, "double").alias("tenth"))
+    got = {r.id: (r.text, r.second, r.is_null) for r in shown.collect()}
+    assert got == {k: tuple(expected) for k, (_, *expected) in enumerate(DOCUMENTS)}
+    assert all(r.tenth is None for r in shown.collect())
+
+
+def test_staging_with_documents(spark, tmp_path):
+    message = '{"timestamp":"2024-05-01T10:00:00Z","tick":%d,"rpm":1.0,"tyre_pressure":%s,"tyre_temp":[1,2,3,4]}'
+    rows = [(k, datetime(2024, 5, 1), message % (t, p)) for k, (t, p) in enumerate([(1, "[1.5,2,3,4]"), (1, '{"fl":1}'), (2, '"none"')])]
+    bronze = spark.createDataFrame(rows, "id BIGINT, ingested_at TIMESTAMP, raw_data STRING")
+    staged = stage(bronze, documents=True)
+    assert staged.columns == [*STAGING_COLUMNS, "tyre_pressure_doc", "tyre_temp_doc"]
+    staged.write.parquet(str(tmp_path / "staged"))
+    back = spark.read.parquet(str(tmp_path / "staged"))
+    got = {r.tick: (r.id, r.p, r.t, r.tyre_pressure_fl) for r in back.select(
+        "tick", "id", F.to_json("tyre_pressure_doc").alias("p"), F.to_json("tyre_temp_doc").alias("t"), "tyre_pressure_fl").collect()}
+    # The later record of a key wins with its document; what is no array has no wheels.
+    assert got == {1: (1, '{"fl":1}', "[1,2,3,4]", None), 2: (2, '"none"', "[1,2,3,4]", None)}
