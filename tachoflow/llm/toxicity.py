@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tachoflow.llm.subwords import BITS, bags, subwords
+from tachoflow.llm.subwords import BITS, bags, subword_blocks
 from tachoflow.llm.tables import written
-from tachoflow.llm.words import slices
+from tachoflow.llm.words import Texts, slices
 
 #: Bounds of the sample the model is trained on: labelled texts, and their distinct subwords in
 #: total. Texts are taken in the order of a hash of their id.
@@ -131,11 +131,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, entries:
     return train(bag, got["toxic"].to_numpy())
 
 
-def margins(texts, table: np.ndarray, bias: float) -> np.ndarray:
+def margins(texts: Texts, table: np.ndarray, bias: float) -> np.ndarray:
     """Log odds of being toxic of every text."""
-    bucket, weight, owner = subwords(texts)
-    total = np.bincount(owner, weight, texts.count) + PAUSE
-    return np.bincount(owner, weight * table[bucket], texts.count) / total + bias
+    total, value = np.full(texts.count, PAUSE), np.zeros(texts.count)
+    for bucket, weight, owner in subword_blocks(texts):
+        total += np.bincount(owner, weight, texts.count)
+        value += np.bincount(owner, weight * table[bucket], texts.count)
+    return value / total + bias
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without an id are not used; an id with several labels counts as toxic if one says so).
     Other columns of either are ignored. Only the text decides a score: a null or empty text and
     one without words get the score of no words, repeated rows and copies score alike, a text of
-    any length is read to its end and takes some twenty times its bytes in numpy arrays. Labels
+    any length is read to its end, some words at a time. Labels
     of held-out ids are never learned from. Without labels all texts get the same low score;
     without documents the result is empty.
     """

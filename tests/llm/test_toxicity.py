@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tachoflow.llm import toxicity
+from tachoflow.llm import subwords as module, toxicity
 from tachoflow.llm.subwords import EDGES, SIZES, bags, lowered, subwords
 from tachoflow.llm.toxicity import averaged, margins, toxicity_scores, train
 from tachoflow.llm.words import slices
@@ -52,6 +52,16 @@ def test_subwords_equal_those_of_strings(text):
     assert summed[text_ == 1].sum() == pytest.approx(expected)
 
 
+def test_blocks_make_the_same_subwords(monkeypatch):
+    texts = next(slices(pa.array([*TEXTS, " ".join(CLEAN * 30), "x" * 300])))
+    whole = [sorted(zip(*(c.tolist() for c in subwords(texts)), strict=True)), [c.tolist() for c in bags(texts)]]
+    monkeypatch.setattr(module, "BLOCK_BYTES", 40)
+    got = [sorted(zip(*(c.tolist() for c in subwords(texts)), strict=True)), [c.tolist() for c in bags(texts)]]
+    assert got[0] == whole[0] and got[1][:2] == whole[1][:2] and got[1][2] == pytest.approx(whole[1][2])
+    monkeypatch.setattr(module, "LONGEST", 100)
+    assert len(subwords(next(slices(pa.array(["x" * 300]))))[0]) == 3 * len(subwords(next(slices(pa.array(["x" * 100]))))[0])
+
+
 def test_same_subword_same_bucket():
     texts = next(slices(pa.array(["idiot", "IDIOT", "idiotic", "midi"])))
     bucket, _, owner = subwords(texts, bits=40)
