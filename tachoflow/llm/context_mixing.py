@@ -9,14 +9,17 @@ INPUTS predictors guess each bit, each from the counts of zeros and ones in a ha
 (code node, context): for words no context, the last word, and the last word among the COMMON
 commonest; for bytes that word with two bytes before, four bytes before, and the word so far.
 Their log odds are combined by weights that a gate picks (kind of bit, its place, longest
-context that was met). The weights start from what a sample of training texts taught and are
-refined on every text as it is read, CHUNK tokens at a time: a chunk is guessed with what was
-learned before it, then learned from.
+context that was met). The weights start from those most likely for the bits of all training
+texts, which are counted by gate and rounded inputs, and are refined on every text as it is
+read, CHUNK tokens at a time: a chunk is guessed with what was learned before it, then learned
+from.
 """
 
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +37,16 @@ END, ESCAPE, FIRST_WORD = 0, 1, 2
 CLOSE = 32
 PRIOR = 0.4
 RATE = 0.002
+#: Steps of log odds in one unit, for scoring.
+FINE = 1000
+#: Log odds are rounded to multiples of STEP, at most STEPS of them, to count bits by their inputs.
+STEP = 0.5
+STEPS = 14
+WIDTH = 2 * STEPS + 1
+FLAG = 32
+CELLS = 2 * GATES * WIDTH ** INPUTS
+#: Weight of the law around the plain weights, in bits of curvature one.
+PULL = 1.0
 _START, _END_VALUE = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 
 
@@ -208,41 +221,95 @@ def bits_of(texts: Texts, tokens: Tokens, lexicon_: Lexicon) -> Bits:
     return Bits(bit, slot, tokens.text.astype(np.int32)[token], tokens.place.astype(np.int32)[token], gate)
 
 
-class Counts(NamedTuple):
+@dataclass(frozen=True)
+class Counts:
     """Log odds of a one in each slot, and how often the slot was met (255: as often or more)."""
 
     odds: np.ndarray
     met: np.ndarray
 
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """Log odds in steps of 1 / FINE and, in the lowest bit, whether the slot was met more than once."""
+        odds = np.clip(np.rint(self.odds.astype(np.float32) * FINE), -(1 << 14), (1 << 14) - 1).astype(np.int16)
+        odds <<= 1
+        odds |= self.met > 1
+        return odds
+
 
 def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((ones + PRIOR) / (zeros + PRIOR))
 
 
-def inputs_of(bits: Bits, counts: Counts, without_self: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
-    """Inputs of the mixer (an array each, the bias is left out) and the gate of each bit.
+def inputs_of(bits: Bits, counts: Counts) -> tuple[list[np.ndarray], np.ndarray]:
+    """Inputs of the mixer (an array each, in steps of 1 / FINE, the bias is left out) and the gate of each bit."""
+    inputs = [counts.codes[slot] for slot in bits.slot]
+    gate = bits.gate * np.int8(2) + np.where(bits.gate < 4, inputs[1] & 1, inputs[2] & 1).astype(np.int8)
+    return [x >> 1 for x in inputs], gate
+
+
+def rounded_inputs(counts: Counts) -> np.ndarray:
+    """For each slot a byte for a bit of 0 and one for a bit of 1 that were counted there.
 
-    without_self takes each bit's own occurrence out of the counts, for learning from texts
-    that were counted.
+    The bit's own occurrence is taken out of the counts, for learning from texts that were
+    counted. The lower bits of a byte hold the log odds in steps of STEP, the next whether
+    the slot was met more than once besides.
     """
-    inputs, mets = [], []
-    for k, slot in enumerate(bits.slot):
-        odds = counts.odds[slot].astype(np.float32)
-        if without_self or k:
-            met = counts.met[slot]
-        if without_self:
-            # odds = log((n1 + PRIOR) / (n0 + PRIOR)) with n0 + n1 = met gives both counts back.
-            few = (met > 0) & (met < 255)
-            n = met.astype(float)
-            ones = np.rint((n + 2 * PRIOR) / (1 + np.exp(-odds.astype(float))) - PRIOR)
-            zeros = np.maximum(n - ones - (1 - bits.bit), 0)
-            odds = np.where(few, log_odds(zeros, np.maximum(ones - bits.bit, 0)), odds).astype(np.float32)
-            met = met - few
-        inputs.append(odds)
-        if k:
-            mets.append(met > 1)
-    longest = np.where(bits.gate < 4, mets[0], mets[1]).astype(np.int8)
-    return inputs, bits.gate * 2 + longest
+    few = (counts.met > 0) & (counts.met < 255)
+    odds, n = counts.odds.astype(np.float32), counts.met.astype(np.float32)
+    # odds = log((n1 + PRIOR) / (n0 + PRIOR)) with n0 + n1 = met gives both counts back.
+    ones = np.rint((n + 2 * PRIOR) / (1 + np.exp(-odds)) - PRIOR)
+    out = np.empty((len(odds), 2), np.uint8)
+    for bit in (0, 1):
+        left = np.where(few, log_odds(np.maximum(n - ones - (1 - bit), 0), np.maximum(ones - bit, 0)), odds)
+        out[:, bit] = np.clip(np.rint(left / STEP), -STEPS, STEPS) + STEPS + FLAG * (counts.met - few > 1)
+    return out.ravel()
+
+
+def cells_of(bits: Bits, rounded: np.ndarray) -> np.ndarray:
+    """Cell of each bit: its gate, its rounded inputs and the bit itself."""
+    found = [rounded[2 * slot + bits.bit] for slot in bits.slot]
+    cell = bits.gate * np.int32(2) + np.where(bits.gate < 4, found[1] >= FLAG, found[2] >= FLAG)
+    for x in found:
+        cell *= np.int32(WIDTH)
+        cell += x & np.uint8(FLAG - 1)
+    return cell * np.int32(2) + bits.bit
+
+
+def fitted_weights(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The most likely weights of every gate for so many bits in each of these cells.
+
+    Newton's method; a normal law around the plain weights keeps gates with few bits near these.
+    """
+    weights = first_weights().astype(float)
+    plain = weights.copy()
+    sign, rest, x = 2.0 * (cells % 2) - 1, cells // 2, []
+    for _ in range(INPUTS):
+        x.insert(0, (rest % WIDTH - STEPS) * STEP)
+        rest = rest // WIDTH
+    x = np.stack([*x, np.full(len(cells), float(BIAS))], axis=1)
+    for gate in range(GATES):
+        at = np.flatnonzero(rest == gate)
+        y, s, count = x[at], sign[at], n[at].astype(float)
+
+        def loss(w: np.ndarray) -> float:
+            return count @ np.logaddexp(0, -s * (y @ w)) + 0.5 * PULL * ((w - plain[gate]) ** 2).sum()
+
+        now = loss(weights[gate])
+        for _ in range(50):
+            right = 1 / (1 + np.exp(np.clip(-s * (y @ weights[gate]), -60, 60)))
+            slope = -(count * s * (1 - right)) @ y + PULL * (weights[gate] - plain[gate])
+            bend = (y * (count * right * (1 - right))[:, None]).T @ y + PULL * np.eye(INPUTS + 1)
+            move = np.linalg.solve(bend, slope)
+            while (then := loss(weights[gate] - move)) > now and np.abs(move).max() > 1e-9:
+                move = move / 2
+            if then >= now:
+                break
+            weights[gate] -= move
+            if now - then <= 1e-9 * now:
+                break
+            now = then
+    return weights.astype(np.float32)
 
 
 def first_weights() -> np.ndarray:
@@ -251,40 +318,59 @@ def first_weights() -> np.ndarray:
     return out
 
 
-def mixed(bits: Bits, count: int, counts: Counts, weights: np.ndarray, rate: float = RATE, without_self: bool = False, shared: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log probability of each text, and the weights at the end.
+def mixed(bits: Bits, count: int, counts: Counts, weights: np.ndarray, rate: float = RATE) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probability of each text, and the weights that each text ends with.
 
-    Every text starts from ``weights`` and refines its own copy; with ``shared`` all texts
-    refine the same ones, in steps of a chunk of each.
+    Every text starts from ``weights`` and refines its own copy, chunk by chunk. The bits of a
+    chunk are ordered by text and gate, so that those of one set of weights lie together.
     """
-    x, gate = inputs_of(bits, counts, without_self)
-    copies = 1 if shared else count
-    row = gate.astype(np.int64) if shared else bits.text.astype(np.int64) * GATES + gate
-    chunk = bits.token // CHUNK
-    order = np.argsort(chunk.astype(np.int16) if not len(chunk) or chunk.max() < 1 << 15 else chunk, kind="stable")
-    borders = np.concatenate(([0], np.cumsum(np.bincount(chunk)))) if len(chunk) else [0]
-    x, row, text = [v[order] for v in x], row[order], bits.text[order]
+    x, gate = inputs_of(bits, counts)
+    own = [np.tile(weights[:, k].astype(np.float32), count) for k in range(INPUTS + 1)]
+    if not len(gate):
+        return np.zeros(count), np.stack(own, axis=1).reshape(count, GATES, INPUTS + 1)
+    # Chunks of texts in the order of chunks, numbered without gaps so that most keys take 16 bits.
+    piece = bits.token // CHUNK * np.int64(count) + bits.text
+    there = np.zeros(int(piece.max()) + 1, bool)
+    there[piece] = True
+    number = np.cumsum(there, dtype=np.int32) - np.int32(1)
+    pieces = np.flatnonzero(there)
+    key = number[piece] * np.int32(GATES) + gate
+    order = np.argsort(key.astype(np.uint16) if len(pieces) * GATES <= 1 << 16 else key, kind="stable")
+    key = key[order]
+    x = [v[order].astype(np.float32) * np.float32(1 / FINE) for v in x]
     sign = (2 * bits.bit[order] - 1).astype(np.float32)
-    own = [np.tile(weights[:, k].astype(np.float32), copies) for k in range(INPUTS + 1)]
-    loss = np.empty(len(row), np.float32)
+    # Runs of bits with one set of weights, and the runs of each chunk.
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(begin, len(key)))
+    chunk, text = np.divmod(pieces[key[begin] // GATES], count)
+    row = text * GATES + key[begin] % GATES
+    pull = (rate / np.sqrt(1 + size / 64)).astype(np.float32)
+    borders = np.searchsorted(chunk, np.arange(chunk[-1] + 2))
+    begin = np.append(begin, len(key))
+    loss = np.empty(len(key), np.float32)
     for low, high in zip(borders, borders[1:]):
-        at = slice(low, high)
-        here, s = row[at], sign[at]
-        score = own[INPUTS][here] * BIAS
+        if low == high:
+            continue
+        at, here, n = slice(begin[low], begin[high]), row[low:high], size[low:high]
+        s = sign[at]
+        score = np.repeat(own[INPUTS][here] * BIAS, n)
         for k in range(INPUTS):
-            score += own[k][here] * x[k][at]
+            part = np.repeat(own[k][here], n)
+            part *= x[k][at]
+            score += part
         score *= s
         np.clip(score, -60, 60, out=score)
         odd = np.exp(-score)
-        loss[at] = np.log1p(odd)
-        error = s * (odd / (1 + odd))
+        # The error of each bit, with its sign.
+        s *= odd
+        odd += np.float32(1)
+        s /= odd
+        np.log(odd, out=loss[at])
+        first = begin[low:high] - begin[low]
         # A gate's many bits of one chunk move its weights by their mean direction, damped.
-        first = int(here.min()) if len(here) else 0
-        near = here - first
-        size = np.bincount(near)
-        pull = (rate / np.sqrt(1 + size / 64)).astype(np.float32)
-        for k in range(INPUTS + 1):
-            moved = np.bincount(near, error * (x[k][at] if k < INPUTS else BIAS))
-            own[k][first:first + len(moved)] += pull * moved.astype(np.float32)
-    result = -np.bincount(text, loss, count)
-    return result, np.stack(own, axis=1) if shared else weights
+        own[INPUTS][here] += pull[low:high] * BIAS * np.add.reduceat(s, first)
+        for k in range(INPUTS):
+            np.multiply(s, x[k][at], out=score)
+            own[k][here] += pull[low:high] * np.add.reduceat(score, first)
+    lost = np.add.reduceat(loss, begin[:-1], dtype=np.float64)
+    return -np.bincount(text, lost, count), np.stack(own, axis=1).reshape(count, GATES, INPUTS + 1)

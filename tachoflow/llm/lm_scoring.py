@@ -4,7 +4,8 @@ Spark counts the words of all training texts and, for every hashed context, its
 ones. A task adds up its own slots and passes them on in blocks, each of which is then summed
 by one task; the table has a fixed number of slots. The commonest words (VOCABULARY, each LEAST_COUNT times) and the
 table go to all tasks; both are bounded by these parameters. Counts of all other words are
-joined by word hash, never broadcast.
+joined by word hash, never broadcast. The first weights are fitted to the bits of all training
+texts, which Spark counts by gate and rounded inputs (CELLS cells at most).
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ from tachoflow.llm.words import U64, mix, slices
 VOCABULARY = 1 << 16
 #: Rarer words are spelled, so that spelling is learned from such words.
 LEAST_COUNT = 4
-#: Bound of the training texts that the first weights are learned from.
-WEIGHT_TEXTS = 1_000
 SLICE = 256 << 10
 BLOCK = 1 << 13
 #: Distinct words a task holds before it passes their counts on.
@@ -117,21 +116,28 @@ def _context_counts(training: DataFrame, shared) -> cm.Counts:
     return cm.Counts(odds, met)
 
 
-def _first_weights(training: DataFrame, texts: int, shared, table, sample: int) -> np.ndarray:
-    """Weights learned on a sample of training texts, each text's own bits taken out of the counts."""
-    share = int(1_000_000 * min(1.0, sample / max(texts, 1)))
+def _cell_counts(training: DataFrame, shared, rounded) -> DataFrame:
+    """Rows (cell, n): the bits of all training texts by gate and rounded inputs, each one's own occurrence taken out."""
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, counts, weights = cm.Lexicon(*shared.value), cm.Counts(*table.value), cm.first_weights()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, sums = cm.Lexicon(*shared.value), np.zeros(cm.CELLS, np.int64)
         for batch in batches:
             for part in slices(batch["text"], SLICE):
-                found, tokens = cm.tokenise(part, lexicon)
-                _, weights = cm.mixed(cm.bits_of(found, tokens, lexicon), found.count, counts, weights, 0.5 * cm.RATE, True, True)
-        yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["weights"])
+                texts, tokens = cm.tokenise(part, lexicon)
+                sums += np.bincount(cm.cells_of(cm.bits_of(texts, tokens, lexicon), rounded.value), minlength=cm.CELLS)
+        met = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(sums[met])], ["cell", "n"])
+
+    return training.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+
 
-    chosen = training.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < share)
-    row = chosen.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", F.xxhash64("text")).limit(2 * sample).coalesce(1).select("text").mapInArrow(learn, "weights binary").first()
-    return np.frombuffer(row.weights, np.float32).reshape(cm.GATES, cm.INPUTS + 1) if row else cm.first_weights()
+def _first_weights(training: DataFrame, shared, table: cm.Counts) -> np.ndarray:
+    """The most likely weights for the bits of all training texts."""
+    rounded = training.sparkSession.sparkContext.broadcast(cm.rounded_inputs(table))
+    # At most CELLS rows, in order, so that sums do not depend on how rows were dealt.
+    cells = _cell_counts(training, shared, rounded).orderBy("cell").toArrow()
+    rounded.unpersist()
+    return cm.fitted_weights(cells["cell"].to_numpy(), cells["n"].to_numpy())
 
 
 def _base_scores(docs: DataFrame, words: DataFrame, total: int, distinct: int, shared) -> DataFrame:
@@ -178,7 +184,7 @@ def _text_keys(tokens: cm.Tokens, count: int) -> np.ndarray:
     return mix(np.add.reduceat(each, begin)).view(np.int64) if count else np.zeros(0, np.int64)
 
 
-def scored(docs: DataFrame, vocabulary: int = VOCABULARY, weight_texts: int = WEIGHT_TEXTS) -> DataFrame:
+def scored(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     """Base and model log10 probability of every document.
 
     ``docs`` has doc_id and text; other columns are ignored. Learns from the documents that
@@ -206,8 +212,9 @@ def scored(docs: DataFrame, vocabulary: int = VOCABULARY, weight_texts: int = WE
     lexicon = cm.lexicon(top["key"].to_numpy().view(U64), number, texts, int(total - texts - number.sum()), [
         texts if b == cm.CLOSE else letters.get(b, 0) for b in range(256)])
     shared = context.broadcast(tuple(lexicon))
-    table = context.broadcast(tuple(_context_counts(training, shared)))
-    weights = _first_weights(training, texts, shared, table, weight_texts)
+    counted = _context_counts(training, shared)
+    table = context.broadcast((counted.odds, counted.met))
+    weights = _first_weights(training, shared, counted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, slots = cm.Lexicon(*shared.value), cm.Counts(*table.value)

@@ -92,6 +92,46 @@ def test_codes_can_be_read_back_and_probabilities_sum_to_one():
     assert math.isclose(score[0], -len(bits.bit) * math.log(2), rel_tol=1e-5)
 
 
+def test_first_weights_come_from_all_training_texts(spark):
+    """Every bit of more texts than any sample took counts, however the rows are dealt; the fit is the most likely one."""
+    from tachoflow.llm import lm_scoring
+
+    texts = [words(k % 500, 5 + k % 7) for k in range(2500)] + ["", None]
+    lexicon = cm.lexicon(np.array([7, 9], np.uint64), np.array([5, 4]), 3, 2, list(range(256)))
+    bits = [cm.bits_of(*cm.tokenise(part, lexicon), lexicon) for part in slices(pa.array(texts))]
+    rng = np.random.default_rng(3)
+    met = rng.integers(0, 4, cm.INPUTS * cm.SLOTS)
+    ones = rng.integers(0, met + 1)
+    table = cm.Counts(cm.log_odds(met - ones, ones).astype(np.float16), met.astype(np.uint8))
+    expected = Counter(np.concatenate([cm.cells_of(b, cm.rounded_inputs(table)) for b in bits]).tolist())
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    shared, rounded = (spark.sparkContext.broadcast(x) for x in (tuple(lexicon), cm.rounded_inputs(table)))
+    for parts in (1, 5):
+        got = lm_scoring._cell_counts(docs.repartition(parts), shared, rounded).collect()
+        assert {r.cell: r.n for r in got} == expected
+    assert sum(expected.values()) == sum(len(b.bit) for b in bits)
+    # At the fitted weights no small step makes the bits of a gate likelier.
+    cells, n = (np.array(x) for x in zip(*sorted(expected.items()), strict=True))
+    weights = cm.fitted_weights(cells, n).astype(float)
+    x = np.stack([(cells // 2 // cm.WIDTH ** k % cm.WIDTH - cm.STEPS) * cm.STEP for k in (2, 1, 0)] + [np.full(len(cells), float(cm.BIAS))], axis=1)
+    gate, sign = cells // 2 // cm.WIDTH ** 3, 2 * (cells % 2) - 1
+    loss = lambda w: n @ np.logaddexp(0, -sign * (x * w[gate]).sum(axis=1)) + 0.5 * cm.PULL * ((w - cm.first_weights()) ** 2).sum()
+    assert len(set(gate)) > 3
+    for k in range(cm.INPUTS + 1):
+        for step in (-0.01, 0.01):
+            moved = weights.copy()
+            moved[:, k] += step
+            assert loss(moved) > loss(weights)
+
+
+def test_own_occurrence_is_taken_out():
+    table = cm.Counts(cm.log_odds(np.array([0, 2, 1.0]), np.array([1, 1, 0.0])).astype(np.float16), np.array([1, 3, 1], np.uint8))
+    left = cm.rounded_inputs(table).reshape(3, 2).astype(int)
+    odds = lambda zeros, ones: round(float(cm.log_odds(np.array(zeros), np.array(ones))) / cm.STEP) + cm.STEPS
+    assert left[0, 1] == odds(0, 0) and left[2, 0] == odds(0, 0)
+    assert left[1].tolist() == [odds(1, 1) + cm.FLAG, odds(2, 0) + cm.FLAG]
+
+
 def test_expectation_maximisation_finds_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(20000) < 0.8
