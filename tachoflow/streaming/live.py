@@ -76,6 +76,9 @@ LIVE_TABLES = {
     "quarantine": rejected_messages,
 }
 
+#: Lets adaptive execution size the parts of a table that is kept; read when it is marked to be kept.
+SIZED_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
 
 def live_tables(spark: SparkSession, path: str) -> RunTables:
     return RunTables(spark, path, {name: together for name in LIVE_TABLES})
@@ -89,13 +92,18 @@ def live_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def add_messages(messages: DataFrame, batch_id: int, path: str, stream: str = "", raw: str = "value") -> None:
     """Add one batch of messages to all live tables; the same batch again changes nothing.
 
-    The batch is read, checked and parsed once and kept for the three writes. A batch of few
-    files is dealt out to all cores first: checking costs far more than moving the text.
+    The batch is read, checked and parsed once and kept for the three writes. Its text is dealt
+    out first, by its hash into as many parts of even size as it fills: a batch of few files
+    reaches all cores, and a part grows with neither the batch nor the files it came in.
     """
-    cores = messages.sparkSession.sparkContext.defaultParallelism
-    if messages.rdd.getNumPartitions() < cores:
-        messages = messages.repartition(cores)
-    checked = checked_messages(messages, raw).persist(StorageLevel.MEMORY_AND_DISK)
+    messages = messages.select(raw).hint("rebalance", raw)
+    conf = messages.sparkSession.conf
+    before = conf.get(SIZED_CACHE)
+    conf.set(SIZED_CACHE, "true")
+    try:
+        checked = checked_messages(messages, raw).persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        conf.set(SIZED_CACHE, before)
     try:
         tables = live_tables(messages.sparkSession, path)
         tables.append({name: show(checked) for name, show in LIVE_TABLES.items()}, batch_id, stream)

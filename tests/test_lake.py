@@ -7,7 +7,7 @@ from tachoflow.operators.staging import latest_wins
 from tachoflow.plans.lake import VERSION_MARK, Lake
 from tachoflow.sources.sensors import sensor_payload, sensor_rows
 from tachoflow.streaming.dedup import LOG, current_rows, log_of, merge_batch
-from tachoflow.streaming.live import LIVE_TABLES, add_messages, live_table, live_tables
+from tachoflow.streaming.live import LIVE_TABLES, SIZED_CACHE, add_messages, live_table, live_tables
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -142,3 +142,25 @@ def test_a_crash_in_a_merge_leaves_the_runs(spark, tmp_path, monkeypatch):
     assert log_of(spark, path, 2).compact() == 1
     assert current_rows(spark, path).count() == latest_wins(rows).count()
     assert json.dumps(log_of(spark, path).runs()).count("run=") == 1
+
+
+def test_live_batch_is_dealt_by_its_size(spark, tmp_path):
+    """A part of a batch has the size asked for, however much comes and in however few files."""
+    messages = sensor_payload(sensor_rows(spark.read.parquet(EVENTS))).select("raw_data")
+    many = messages.crossJoin(spark.range(8).toDF("copy")).selectExpr("concat(left(raw_data, length(raw_data) - 1), ',\"copy\":', copy, '}') as raw_data")
+    sizes = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"}
+    before = {key: spark.conf.get(key) for key in (*sizes, SIZED_CACHE)}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        parts = {}
+        for name, rows in (("few", messages.limit(20)), ("many", many)):
+            add_messages(rows.coalesce(1), 0, str(tmp_path / name), "s", raw="raw_data")
+            table = live_table(spark, str(tmp_path / name), "telemetry_live")
+            assert table.count() == rows.count()
+            parts[name] = len(table.inputFiles())
+        assert parts["few"] <= 4 < 8 < parts["many"]
+        assert spark.conf.get(SIZED_CACHE) == before[SIZED_CACHE]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
