@@ -241,14 +241,20 @@ def src_concurrent_loads(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("messages"), F.count_distinct("id").alias("ids"), F.lit(loaded).cast("long").alias("loaded"))
 
 
+def _parted_messages(events: DataFrame) -> DataFrame:
+    """Lines (part, line) of eight files in order of id. Events are dealt and sorted before their messages are made, so a task sorts short rows."""
+    part = F.col("event_id") % 8
+    placed = events.select("event_id", "ts").repartitionByRange(8, part).sortWithinPartitions(part, "event_id")
+    rows = sensor_payload(sensor_rows(placed)).where("raw_data is not null")
+    cut = F.when(F.col("id") % 101 == 7, F.expr("left(raw_data, length(raw_data) - 1)")).otherwise(F.col("raw_data"))
+    blank = F.array_repeat(F.lit("  "), (F.col("id") % 3).cast("int"))
+    return rows.select((F.col("id") % 8).alias("part"), F.array_join(F.array_append(blank, cut), "\n").alias("line"))
+
+
 def src_invalid_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Eight files with blank lines in between; of every 101 messages one is cut. Each bad line by its number."""
     inbox = scratch_dir(spark, "numbered")
-    rows = bronze(spark, folder).where("raw_data is not null")
-    cut = F.when(F.col("id") % 101 == 7, F.expr("left(raw_data, length(raw_data) - 1)")).otherwise(F.col("raw_data"))
-    blank = F.array_repeat(F.lit("  "), (F.col("id") % 3).cast("int"))
-    lines = rows.select("id", (F.col("id") % 8).alias("part"), F.array_join(F.array_append(blank, cut), "\n").alias("line"))
-    lines.repartition(8, "part").sortWithinPartitions("part", "id").select("part", "line").write.partitionBy("part").text(inbox)
+    _parted_messages(_events(spark, folder)).write.partitionBy("part").text(inbox)
     found = invalid_lines(read_lines(spark, f"{inbox}/*"))
     part = F.regexp_extract("file_path", "part=([0-9]+)", 1).cast("long")
     distance = F.regexp_extract("value", '"odometer_km":([-+.0-9E]+)', 1).cast("double")

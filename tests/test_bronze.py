@@ -189,3 +189,23 @@ def test_bad_lines_are_named_by_number(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert str(raised.value).startswith(f"Invalid JSON on line {expected[0][1]} of file:")
     assert "a.jsonl\n" in str(raised.value) and str(raised.value).endswith(expected[0][2])
+
+
+def test_numbered_messages_are_sorted_as_short_rows(spark, tmp_path):
+    """Only the event's key and time are dealt and sorted, and the writer finds the lines in order."""
+    from checks.catalog import _parted_messages
+
+    events = spark.range(900).selectExpr("id as event_id", "timestamp_seconds(1700000000 + id) as ts", "repeat('x', 1000) as props")
+    lines = _parted_messages(events.repartition(5))
+    plan, sorts = lines._jdf.queryExecution().optimizedPlan(), []
+    while True:
+        if plan.nodeName() == "Sort":
+            sorts.append(plan.output().size())
+        if not plan.children().size():
+            break
+        plan = plan.children().apply(0)
+    assert sorts == [2]
+    lines.write.partitionBy("part").text(str(tmp_path / "in"))
+    bad = invalid_lines(read_lines(spark, str(tmp_path / "in" / "*"))).collect()
+    ids = [k for k in range(900) if k % 101 == 7]
+    assert sorted((r.file_path.split("part=")[1][0], r.line_number) for r in bad) == sorted((str(k % 8), k // 8 + 1) for k in ids)
