@@ -22,6 +22,8 @@ MARK = "▁"
 SHORT = 128
 #: Segments whose pieces a task keeps.
 KEPT = 400_000
+#: Characters of segments that are indexed together, or one longer segment.
+INDEXED = 1 << 18
 _LENGTHS = 64
 
 
@@ -279,7 +281,13 @@ class Encoder:
         for s in wanted:
             body = s.lstrip(" ")
             marked.append(MARK * (len(s) - len(body) + 1) + body)
-        self.known.update(zip(wanted, encode_segments(marked, self.vocabulary), strict=True))
+        ends = np.cumsum([len(s) for s in marked])
+        at = 0
+        while at < len(marked):
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + INDEXED, "right")))
+            self.known.update(zip(wanted[at:to], encode_segments(marked[at:to], self.vocabulary), strict=True))
+            at = to
 
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """Piece ids (int32) of every text; an empty text has none."""
