@@ -71,7 +71,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(len(rank), np.int64)
     for k in range(length):
         key <<= bits
-        key[:len(rank) - k] |= rank[k:]
+        key[:max(0, len(rank) - k)] |= rank[k:]
     while True:
         order = np.argsort(key)
         if length >= depth:

@@ -14,6 +14,7 @@ from tachoflow.llm import context_mixing as cm
 from tachoflow.llm.dom import read
 from tachoflow.llm.html_extraction import MAIN, Model, features, main_text, never, page_tree
 from tachoflow.llm.lm_scoring import scored
+from tachoflow.llm.pieces import Encoder, Vocabulary, suffix_array
 from tachoflow.llm.quotation_linking import reply_threads
 from tachoflow.llm.sentencepiece_codec import MODEL, decoded, encoded
 from tachoflow.llm.token_attribution import RANKS, Tokens, attribute, section_token_counts
@@ -171,6 +172,19 @@ def test_pieces_equal_the_library(spark, edge_docs, edge_rows, no_docs):
     assert encoded(no_docs).count() == 0
 
 
+def test_few_new_characters_are_indexed():
+    """Segments of all kinds and lengths, each learned alone: fewer characters than codes go into a key."""
+    library, vocabulary = sentencepiece.SentencePieceProcessor(model_file=MODEL), Vocabulary(MODEL)
+    for n in range(1, 25):
+        for text in ("a" * n, "ab" * n, "é" * n, " " * n, "the quick"[:n], "0123456789abcdefghijklmn"[:n]):
+            assert Encoder(vocabulary).encode([text])[0].tolist() == library.encode(text)
+    codes = np.array([2, 1, 1, 2, 1])
+    for n in range(1, 6):
+        for depth in (1, 3, 16, 40):
+            order = suffix_array(codes[:n], depth)
+            assert order.tolist() == sorted(range(n), key=lambda k: codes[k:n].tolist())[:n] or depth < n
+
+
 def brute_attribution(ends, sections, rule):
     owner = lambda b: max(((s, k) for k, (s, e) in enumerate(sections) if s <= b < e), default=(0, -1))[1]
     out, crossing, start = [], [], 0
