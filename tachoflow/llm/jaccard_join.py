@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tachoflow.llm.graph import components
 from tachoflow.llm.partenum import Bands, set_ids, signatures
-from tachoflow.llm.tables import arrow_step, broadcast_if_small, release, written
+from tachoflow.llm.tables import arrow_step, broadcast_if_small, giving_back, release, small_batches, written
 from tachoflow.llm.words import LOWER, U64, Texts, distinct_per_text, find_words, hash_words, mix, slices, windows
 
 #: Bits of the smallest and of the largest parity map; larger sets are filtered less sharply.
@@ -42,6 +42,8 @@ FEW = 8
 BLOCK = 2048
 #: Partners a set is compared with before all others, where many share a signature.
 NEAREST = 2
+#: Bytes of text worked on at a time.
+SLICE = 1 << 19
 #: Signatures a task gathers before it passes them on.
 CHUNK = 1 << 19
 #: Shingles a task keeps of the texts it compared last.
@@ -103,7 +105,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for texts in slices(batch["text"]):
+        for texts in slices(batch["text"], SLICE):
             features, owner = shingles(texts, size)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -146,7 +148,7 @@ def _signed_sets(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs, members, held, done = [], [], 0, set()
         for batch in batches:
-            for texts in slices(batch["text"]):
+            for texts in slices(batch["text"], SLICE):
                 features, owner = shingles(texts, size)
                 ids = _signed(set_ids(features, owner, texts.count))
                 again = np.zeros(texts.count, bool)
@@ -166,7 +168,7 @@ def _signed_sets(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
         if held:
             yield gathered(signs, members)
 
-    return docs.mapInArrow(run, "sign long, member long, peer long")
+    return docs.mapInArrow(giving_back(run), "sign long, member long, peer long")
 
 
 def _star_pairs(signed: DataFrame) -> DataFrame:
@@ -194,7 +196,7 @@ def _star_pairs(signed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     dealt = signed.repartition("sign").sortWithinPartitions("sign", "member")
-    return dealt.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInArrow(giving_back(run), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _most_apart(percent: int):
@@ -229,7 +231,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         read = read.unionByName(docs.where("doc_id is null"))
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for texts in slices(batch["text"]):
+        for texts in slices(batch["text"], SLICE):
             features, owner = shingles(texts, size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_signed(set_ids(features, owner, texts.count))), batch["text"].slice(texts.first, texts.count)], ["set_id", "text"])
@@ -278,7 +280,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 keep.append(100 * met >= percent * (len(one) + len(two) - met))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> DataFrame:
@@ -337,7 +339,7 @@ def _paired_in_blocks(rows: DataFrame, percent: int, nearest: int | None) -> Dat
         .select("sign", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "member", "root", "n", "map")
         .repartition("sign", "low", "high").sortWithinPartitions("sign", "low", "high")
     )
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(giving_back(run), "a long, b long")
 
 
 def _owned(sets: DataFrame, tried: DataFrame, links: DataFrame) -> DataFrame:
@@ -367,7 +369,7 @@ def _open_signatures(docs: DataFrame, open_sets: DataFrame, size: int, bands: Ba
     texts = _texts_of(docs, open_sets.select("set_id", "doc_id"), size).join(open_sets.select("set_id", "root"), "set_id")
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch["text"]):
+        for part in slices(batch["text"], SLICE):
             features, owner = shingles(part, size)
             sign, who = signatures(features, owner, part.count, bands)
             ids, roots = (batch[c].to_numpy()[part.first:part.first + part.count] for c in ("set_id", "root"))
@@ -402,34 +404,35 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bands = Bands(percent)
-    members = written(_sets(docs, size), "sets")
-    sets = members.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("map").alias("map"))
-    sets = written(sets, "distinct-sets")
     spark = docs.sparkSession
-    tried = written(_star_pairs(_signed_sets(docs, size, bands)), "candidates")
-    release(spark)
-    likely = written(_possible(tried, sets, percent), "possible")
-    release(spark)
-    links = written(_verified(likely, docs, size, percent), "links")
-    release(spark)
-    # First the nearest partners, which joins most of a group of near copies, then all that are left.
-    # Components only grow and only pairs of open sets are tried, so the second turn's shared
-    # signatures are among those of the first.
-    shared = None
-    for nearest in (NEAREST, None):
-        open_sets = _owned(sets, tried, links)
-        if shared is None:
-            found = _open_signatures(docs, open_sets, size, bands)
-        else:
-            found = _of_several(shared.select("sign", "member").join(open_sets.select(F.col("set_id").alias("member"), "root"), "member"))
-        shared = written(found, "mixed")
+    with small_batches(spark):
+        members = written(_sets(docs, size), "sets")
+        sets = members.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("map").alias("map"))
+        sets = written(sets, "distinct-sets")
+        tried = written(_star_pairs(_signed_sets(docs, size, bands)), "candidates")
         release(spark)
-        more = written(_remaining(shared, open_sets, sets, tried, percent, nearest), "possible")
+        likely = written(_possible(tried, sets, percent), "possible")
         release(spark)
-        links = written(links.union(_verified(more, docs, size, percent)), "links")
+        links = written(_verified(likely, docs, size, percent), "links")
         release(spark)
-        tried = tried.select("a", "b").union(more.select("a", "b"))
-    roots = components(links)
+        # First the nearest partners, which joins most of a group of near copies, then all that are left.
+        # Components only grow and only pairs of open sets are tried, so the second turn's shared
+        # signatures are among those of the first.
+        shared = None
+        for nearest in (NEAREST, None):
+            open_sets = _owned(sets, tried, links)
+            if shared is None:
+                found = _open_signatures(docs, open_sets, size, bands)
+            else:
+                found = _of_several(shared.select("sign", "member").join(open_sets.select(F.col("set_id").alias("member"), "root"), "member"))
+            shared = written(found, "mixed")
+            release(spark)
+            more = written(_remaining(shared, open_sets, sets, tried, percent, nearest), "possible")
+            release(spark)
+            links = written(links.union(_verified(more, docs, size, percent)), "links")
+            release(spark)
+            tried = tried.select("a", "b").union(more.select("a", "b"))
+        roots = components(links)
     named = sets.select("set_id", "doc_id").join(roots, F.col("set_id") == F.col("node"))
     names = named.groupBy("root").agg(F.min("doc_id").alias("name"))
     grouped = named.select("set_id", "root").join(names, "root").select("set_id", "name")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tachoflow.llm.pieces import Encoder, Vocabulary
+from tachoflow.llm.tables import giving_back
 from tachoflow.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -52,7 +53,7 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
                     ["doc_id", "n_tokens", "ids", "round_trip"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return docs.mapInArrow(giving_back(run), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decoded(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -66,4 +67,4 @@ def decoded(tokens: DataFrame, model: str = MODEL) -> DataFrame:
             texts = [None if x is None else encoder.decode(np.array(x, np.int64)) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.mapInArrow(run, "doc_id long, text string")
+    return tokens.mapInArrow(giving_back(run), "doc_id long, text string")

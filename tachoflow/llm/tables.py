@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,46 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Bytes of rows handed to a task's Python worker at once while an operator that asks for it works.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand rows to Python in batches of about BATCH_BYTES, in the jobs that are run meanwhile.
+
+    By count alone a batch of pairs of texts takes some 40 MB, on both sides of each task.
+    """
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; Spark keeps a Python worker for the next task, of any step."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Run) -> Run:
+    """The step, whose worker keeps no freed memory once a task has ended."""
+
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return all_of
+
+
 def arrow_step(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Run a function from one record batch to any number of them over every batch."""
 
@@ -44,7 +86,7 @@ def arrow_step(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.Recor
         for batch in batches:
             yield from step(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 #: A side is broadcast only if its counted rows take no more than this.

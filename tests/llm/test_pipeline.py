@@ -1,6 +1,15 @@
+import re
+import tracemalloc
 from collections import Counter
+from pathlib import Path
+
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tachoflow.llm.pieces import Encoder, Vocabulary
+from tachoflow.llm.sentencepiece_codec import MODEL
+from tachoflow.llm.tables import BATCH_BYTES, giving_back, small_batches
 from tests.llm.conftest import DOCS, words
 from tests.llm.test_jaccard_join import brute
 
@@ -56,3 +65,52 @@ def test_decisions_are_made_by_row(spark, tmp_path):
     rows = [(None, good), (None, leaked), (7, other), (7, leaked), (9, None), (9, ""), (10, good), (10, good)]
     kept = _rows(corpus_pipeline.decontamination(spark, _frame(spark, rows), str(tmp_path)))
     assert kept == Counter([(None, good), (7, other), (9, None), (9, ""), (10, good), (10, good)])
+
+
+def test_small_batches_bound_what_a_worker_holds(spark):
+    """40 MB of texts reach a step in batches of a few MB, and the session is as before afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    docs = spark.range(0, 8000, numPartitions=2).select(F.repeat(F.lit("words "), 900).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    with small_batches(spark):
+        found = [r.n for r in docs.mapInArrow(giving_back(sizes), "n long").collect()]
+    assert sum(found) > 40e6 and max(found) < 1.5 * BATCH_BYTES
+    assert spark.conf.get(key, None) == before
+
+
+def test_worker_gives_memory_back(spark):
+    """What a step has freed is no longer held by the worker that the next step gets."""
+    def run(batches):
+        for batch in batches:
+            kept = [bytearray(50_000) for _ in range(4000)]
+            last = kept[-1]
+            del kept
+            yield batch.slice(0, len(last) and 1)
+
+    def held(batches):
+        for batch in batches:
+            kb = int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1])
+            yield pa.RecordBatch.from_arrays([pa.array([kb])], ["n"])
+
+    one = spark.range(0, 1, numPartitions=1)
+    one.mapInArrow(giving_back(run), "id long").collect()
+    assert one.mapInArrow(held, "n long").first().n < 150_000
+
+
+def test_encoding_holds_no_batch_of_segments():
+    text = " ".join(words(k % 40, 5000) for k in range(40))
+    encoder = Encoder(Vocabulary(MODEL))
+    encoder.encode([text])
+    tracemalloc.start()
+    try:
+        got = encoder.encode([text] * 8)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # The segments of one text, not of all, beside the ids.
+    assert peak < 30e6 + sum(x.nbytes for x in got) * 2
