@@ -47,15 +47,22 @@ FLAG = 32
 CELLS = 2 * GATES * WIDTH ** INPUTS
 #: Weight of the law around the plain weights, in bits of curvature one.
 PULL = 1.0
+#: Gate of a word's bit by its place in the code.
+_WORD_GATE = np.searchsorted([1, 4, 8], np.arange(64), "right").astype(np.int8)
 _START, _END_VALUE = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 
 
 class Code(NamedTuple):
-    """Huffman codes: symbol s has the bits and tree nodes [offset[s], offset[s + 1])."""
+    """Huffman codes: symbol s has the bits and tree nodes [offset[s], offset[s + 1]).
+
+    spread: each node as it enters the hash of a slot; step: its place in the code, 63 at most.
+    """
 
     offset: np.ndarray
     bit: np.ndarray
     node: np.ndarray
+    spread: np.ndarray
+    step: np.ndarray
 
 
 def huffman(counts: list[int]) -> Code:
@@ -81,7 +88,9 @@ def huffman(counts: list[int]) -> Code:
         bits += [b for b, _ in reversed(path)]
         nodes += [x for _, x in reversed(path)]
         offset.append(len(bits))
-    return Code(np.array(offset), np.array(bits, np.int8), np.array(nodes, np.int32))
+    begin, node = np.array(offset), np.array(nodes, np.int32)
+    step = np.arange(len(node)) - np.repeat(begin[:-1], np.diff(begin))
+    return Code(begin, np.array(bits, np.int8), node, node.astype(U64) * U64(0x9E3779B97F4A7C15), np.minimum(step, 63).astype(np.int8))
 
 
 class Lexicon(NamedTuple):
@@ -148,21 +157,24 @@ class Bits(NamedTuple):
     gate: np.ndarray
 
 
-def _spread(offset: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each code bit of the symbols: which symbol it is of, its place in the code table and in the code."""
-    size = offset[symbol + 1] - offset[symbol]
-    owner = np.repeat(np.arange(len(symbol)), size)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    return owner, offset[symbol][owner] + step, step
+def _spread(offset: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code size of each symbol, and for each code bit its place in the code table."""
+    begin = offset[symbol]
+    size = offset[symbol + 1] - begin
+    return size, np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def _slot(node: np.ndarray, context: np.ndarray, owner: np.ndarray, salt: int) -> np.ndarray:
+def _slot(spread: np.ndarray, context: np.ndarray | None, size: np.ndarray, salt: int) -> np.ndarray:
     """Slot of each (node, context of its owner); contexts are spread first, so one product spreads the sum."""
-    sum_ = mix(context + U64(salt << 32))[owner]
-    sum_ += node.astype(U64) * U64(0x9E3779B97F4A7C15)
+    if context is None:
+        sum_ = spread + mix(np.array([salt << 32], U64))
+    else:
+        sum_ = np.repeat(mix(context + U64(salt << 32)), size)
+        sum_ += spread
     sum_ *= U64(0xD6E8FEB86659FD93)
     sum_ >>= U64(64 - SLOT_BITS)
-    return sum_.astype(np.int32) + np.int32((salt & 7) * SLOTS)
+    sum_ += U64((salt & 7) * SLOTS)
+    return sum_.view(np.int64)
 
 
 def _before(value: np.ndarray, place: np.ndarray, steps: int) -> np.ndarray:
@@ -182,11 +194,10 @@ def bits_of(texts: Texts, tokens: Tokens, lexicon_: Lexicon) -> Bits:
     known = (latest >= 0) & (latest >= np.arange(n) - tokens.place)
     topic = np.where(known, tokens.symbol[np.maximum(latest, 0)], 0).astype(U64)
 
-    owner, entry, step = _spread(lexicon_.words.offset, tokens.symbol)
-    node = lexicon_.words.node[entry]
-    contexts = (np.zeros(n, U64), last, topic)
-    word_slots = [_slot(node, c, owner, k) for k, c in enumerate(contexts)]
-    word = (lexicon_.words.bit[entry], owner.astype(np.int32), np.searchsorted([1, 4, 8], np.arange(64), "right").astype(np.int8)[np.minimum(step, 63)])
+    sizes, entry = _spread(lexicon_.words.offset, tokens.symbol)
+    node = lexicon_.words.spread[entry]
+    word_slots = [_slot(node, c, sizes, k) for k, c in enumerate((None, last, topic))]
+    word = (lexicon_.words.bit[entry], np.repeat(np.arange(n, dtype=np.int32), sizes), _WORD_GATE[lexicon_.words.step[entry]])
 
     spelled = np.flatnonzero(tokens.symbol == ESCAPE)
     size = tokens.end[spelled] - tokens.start[spelled] + 1
@@ -210,11 +221,11 @@ def bits_of(texts: Texts, tokens: Tokens, lexicon_: Lexicon) -> Bits:
     two = before[0] * U64(257) + before[1]
     four = (two * U64(257) + before[2]) * U64(257) + before[3]
     near = two + mix(topic[spelled][which])
-    owner2, entry2, _ = _spread(lexicon_.bytes.offset, symbol)
-    node2 = lexicon_.bytes.node[entry2]
-    letter_slots = [_slot(node2, c, owner2, 8 + k) for k, c in enumerate((near, four, prefix))]
+    sizes2, entry2 = _spread(lexicon_.bytes.offset, symbol)
+    node2 = lexicon_.bytes.spread[entry2]
+    letter_slots = [_slot(node2, c, sizes2, 8 + k) for k, c in enumerate((near, four, prefix))]
     letter_gate = (4 + np.searchsorted([1, 3, 6], letter, "right")).astype(np.int8)
-    spell = (lexicon_.bytes.bit[entry2], spelled[which].astype(np.int32)[owner2], letter_gate[owner2])
+    spell = (lexicon_.bytes.bit[entry2], np.repeat(spelled[which].astype(np.int32), sizes2), np.repeat(letter_gate, sizes2))
 
     bit, token, gate = (np.concatenate(x) for x in zip(word, spell, strict=True))
     slot = [np.concatenate(x) for x in zip(word_slots, letter_slots, strict=True)]
@@ -243,7 +254,7 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 def inputs_of(bits: Bits, counts: Counts) -> tuple[list[np.ndarray], np.ndarray]:
     """Inputs of the mixer (an array each, in steps of 1 / FINE, the bias is left out) and the gate of each bit."""
-    inputs = [counts.codes[slot] for slot in bits.slot]
+    inputs = [np.take(counts.codes, slot, mode="clip") for slot in bits.slot]
     gate = bits.gate * np.int8(2) + np.where(bits.gate < 4, inputs[1] & 1, inputs[2] & 1).astype(np.int8)
     return [x >> 1 for x in inputs], gate
 
@@ -268,7 +279,7 @@ def rounded_inputs(counts: Counts) -> np.ndarray:
 
 def cells_of(bits: Bits, rounded: np.ndarray) -> np.ndarray:
     """Cell of each bit: its gate, its rounded inputs and the bit itself."""
-    found = [rounded[2 * slot + bits.bit] for slot in bits.slot]
+    found = [np.take(rounded, 2 * slot + bits.bit, mode="clip") for slot in bits.slot]
     cell = bits.gate * np.int32(2) + np.where(bits.gate < 4, found[1] >= FLAG, found[2] >= FLAG)
     for x in found:
         cell *= np.int32(WIDTH)
@@ -337,8 +348,13 @@ def mixed(bits: Bits, count: int, counts: Counts, weights: np.ndarray, rate: flo
     key = number[piece] * np.int32(GATES) + gate
     order = np.argsort(key.astype(np.uint16) if len(pieces) * GATES <= 1 << 16 else key, kind="stable")
     key = key[order]
-    x = [v[order].astype(np.float32) * np.float32(1 / FINE) for v in x]
-    sign = (2 * bits.bit[order] - 1).astype(np.float32)
+    # The inputs and the bit lie side by side while they are put in order.
+    beside = np.empty((len(key), INPUTS + 1), np.int16)
+    for k, v in enumerate([*x, bits.bit]):
+        beside[:, k] = v
+    beside = beside.view(np.int64).ravel()[order].view(np.int16).reshape(-1, INPUTS + 1)
+    x = [beside[:, k].astype(np.float32) * np.float32(1 / FINE) for k in range(INPUTS)]
+    sign = 2 * beside[:, INPUTS].astype(np.float32) - np.float32(1)
     # Runs of bits with one set of weights, and the runs of each chunk.
     begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.append(begin, len(key)))

@@ -93,6 +93,23 @@ def test_codes_can_be_read_back_and_probabilities_sum_to_one():
     assert math.isclose(score[0], -len(bits.bit) * math.log(2), rel_tol=1e-5)
 
 
+def test_slots_equal_a_plain_hash():
+    """The slot of every bit, from its node and context one at a time."""
+    code, most = cm.huffman([5, 1, 0, 9, 2]), (1 << 64) - 1
+    symbol = np.array([3, 2, 2, 0, 4, 1])
+    context = np.arange(6, dtype=np.uint64) * np.uint64(0xABCDEF123456789)
+    sizes, entry = cm._spread(code.offset, symbol)
+    assert entry.tolist() == [k for s in symbol for k in range(code.offset[s], code.offset[s + 1])]
+    assert code.step[entry].tolist() == [k for s in symbol for k in range(code.offset[s + 1] - code.offset[s])]
+    for salt in (0, 2, 9):
+        plain = [
+            (((int(cm.mix(c + np.uint64(salt << 32))) + int(code.node[k]) * 0x9E3779B97F4A7C15) * 0xD6E8FEB86659FD93 & most) >> 64 - cm.SLOT_BITS) + (salt & 7) * cm.SLOTS
+            for c, s in zip(context, symbol, strict=True) for k in range(code.offset[s], code.offset[s + 1])]
+        assert cm._slot(code.spread[entry], context, sizes, salt).tolist() == plain
+    none = cm._slot(code.spread[entry], np.zeros(6, np.uint64), sizes, 0)
+    assert cm._slot(code.spread[entry], None, sizes, 0).tolist() == none.tolist()
+
+
 def test_first_weights_come_from_all_training_texts(spark):
     """Every bit of more texts than any sample took counts, however the rows are dealt; the fit is the most likely one."""
     from tachoflow.llm import lm_scoring
