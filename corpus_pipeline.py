@@ -5,7 +5,8 @@ predecessor kept; all but the last return the columns of ``documents``, whatever
 table carries. Decisions reach the rows by a 64-bit hash of what they rest on (doc_id and text,
 for the quality rules the language too), so rows that share an id, or have none, are decided
 each by its own text, and rows that are equal in these columns alike. Null ids and texts are
-values like others; empty tables give empty results.
+values like others; empty tables give empty results. A stage begins with what its predecessor
+no longer needs given back: heap and Python workers share an executor's memory.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from tachoflow.llm.jaccard_join import jaccard_components
 from tachoflow.llm.personal_data import personal_data, redacted
 from tachoflow.llm.quality_rules import quality_report
 from tachoflow.llm.sentencepiece_codec import encoded
-from tachoflow.llm.tables import broadcast_if_small, table, written
+from tachoflow.llm.tables import broadcast_if_small, release, small_batches, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Hash of what a decision rests on.
@@ -49,8 +50,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A text that is null, empty or short goes. Repeated rows stay or go together.
     """
+    release(spark)
     keyed = _keyed(_documents(docs), "lang")
-    report = quality_report(_by_key(keyed, "text", "lang"))
+    with small_batches(spark):
+        report = quality_report(_by_key(keyed, "text", "lang"))
     return _without(keyed, report.where("not kept").select(F.col("doc_id").alias(KEY))).select(*COLUMNS)
 
 
@@ -61,6 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id and text that stay, the one smallest in the other columns does. Texts without words are
     linked with nothing, so all of them stay.
     """
+    release(spark)
     keyed = _keyed(_documents(docs))
     groups = written(jaccard_components(_by_key(keyed, "text"), size=5, percent=80), "groups")
     groups = groups.where("n_shingles > 0").groupBy(F.col("doc_id").alias(KEY), "component_id").agg(F.count("*").alias("n"))
@@ -77,9 +81,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. Texts without words hold none; repeated rows stay or go together."""
+    release(spark)
     keyed = _keyed(_documents(docs))
     found = contaminated(_by_key(keyed, "text"), table(spark, sf_dir, "benchmark"))
-    return _without(keyed, found.select(F.col("doc_id").alias(KEY))).select(*COLUMNS)
+    with small_batches(spark):
+        return _without(keyed, found.select(F.col("doc_id").alias(KEY))).select(*COLUMNS)
 
 
 def personal_data_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,6 +93,7 @@ def personal_data_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     A null text stays null; repeated rows come out alike.
     """
+    release(spark)
     docs = _documents(docs)
     out = redacted(docs, personal_data(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
@@ -94,6 +101,7 @@ def personal_data_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document; a null text has null ids, repeated rows come out alike."""
+    release(spark)
     return encoded(_documents(docs))
 
 

@@ -21,8 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tachoflow.llm.tables import giving_back
 from tachoflow.llm.words import U64, distinct_per_text, find_words, hash_words, mix, slices, windows
 
+#: Bytes of text worked on at a time.
+SLICE = 1 << 19
 BLOCK_ITEMS = 50_000
 BLOCK_BYTES = 16 << 20
 #: Document sizes (distinct shingles) from which one more sketch hash is asked for.
@@ -51,7 +54,7 @@ def needed(sizes: np.ndarray) -> np.ndarray:
 
 
 def _hashed_windows(column: pa.Array, size: int):
-    for texts in slices(column):
+    for texts in slices(column, SLICE):
         words = find_words(texts)
         hashes = hash_words(texts.data, words)
         value, owner = windows(hashes, words.text, size)
@@ -155,12 +158,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             sketches = Sketches(shared.value, size, percent)
             for batch in batches:
-                for first in range(0, batch.num_rows, 1024):
-                    part = batch.slice(first, 1024)
+                for texts in slices(batch["text"], SLICE):
+                    part = batch.slice(texts.first, texts.count)
                     plain = [folded(t) for t in part["text"].to_pylist()]
                     yield from _matches(part["doc_id"], plain, sketches, size, percent)
 
-        found = found.union(docs.mapInArrow(run, schema))
+        found = found.union(docs.mapInArrow(giving_back(run), schema))
     return found
 
 

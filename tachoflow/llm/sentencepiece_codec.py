@@ -15,7 +15,7 @@ from tachoflow.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose new segments are indexed together.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
 
 
 def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:

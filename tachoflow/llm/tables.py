@@ -30,13 +30,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps whose results were written.
+    """Let Spark delete the shuffle files of steps whose results were written, and executors give unused heap back.
 
-    It does so once nothing on the driver refers to a step any more, which it notices when the
-    driver collects garbage; on a large heap that may be much later than the disks are full.
+    Spark deletes them once nothing on the driver refers to a step any more, which it notices when
+    the driver collects garbage; on a large heap that may be much later than the disks are full. An
+    executor keeps the heap that its largest step took, beside the Python workers of the next one,
+    until it collects all its garbage. Tasks go to all free cores, so to every executor.
     """
     gc.collect()
     spark._jvm.System.gc()
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, numPartitions=cores).selectExpr("java_method('java.lang.System', 'gc')").collect()
 
 
 #: Bytes of rows handed to a task's Python worker at once while an operator that asks for it works.

@@ -7,9 +7,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tachoflow.llm.decontamination import Sketches, _matches
 from tachoflow.llm.pieces import Encoder, Vocabulary
 from tachoflow.llm.sentencepiece_codec import MODEL
-from tachoflow.llm.tables import BATCH_BYTES, giving_back, small_batches
+from tachoflow.llm.tables import BATCH_BYTES, giving_back, release, small_batches
 from tests.llm.conftest import DOCS, words
 from tests.llm.test_jaccard_join import brute
 
@@ -114,3 +115,33 @@ def test_encoding_holds_no_batch_of_segments():
         tracemalloc.stop()
     # The segments of one text, not of all, beside the ids.
     assert peak < 30e6 + sum(x.nbytes for x in got) * 2
+
+
+def test_release_reaches_every_core(spark):
+    """Executors give their heap back too: one task for each core asks for it."""
+    context = spark.sparkContext
+    context.setJobGroup("given back", "release")
+    try:
+        release(spark)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("given back") for s in tracker.getJobInfo(j).stageIds]
+    assert [tracker.getStageInfo(s).numTasks for s in stages] == [context.defaultParallelism]
+
+
+def test_decontamination_works_on_small_slices():
+    """Memory beside the texts does not grow with a batch of them."""
+    text = words(50, 20_000).encode()
+    sketches = Sketches([(1, words(51, 40))], 5, 80)
+    peak = []
+    for n in (5, 20):
+        ids, plain = pa.array(range(n)), [text] * n
+        list(_matches(ids, plain[:1], sketches, 5, 80))
+        tracemalloc.start()
+        try:
+            list(_matches(ids, plain, sketches, 5, 80))
+            peak.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+    assert peak[1] < 2 * peak[0]
