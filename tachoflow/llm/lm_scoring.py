@@ -78,15 +78,13 @@ def _context_counts(training: DataFrame, shared) -> cm.Counts:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = cm.Lexicon(*shared.value)
-        table = np.zeros(2 * _TABLE, np.int32)
+        tally = cm.Tally(lexicon)
         for batch in batches:
             for part in slices(batch["text"], SLICE):
-                texts, tokens = cm.tokenise(part, lexicon)
-                bits = cm.bits_of(texts, tokens, lexicon)
-                for slot in bits.slot:
-                    np.add.at(table, bits.bit * np.intp(_TABLE) + slot, np.int32(1))
+                tally.add(*cm.tokenise(part, lexicon))
+        table = tally.close()
         for block in range(_TABLE // BLOCK):
-            part_ = table.reshape(2, _TABLE)[:, block * BLOCK:(block + 1) * BLOCK]
+            part_ = table[:, block * BLOCK:(block + 1) * BLOCK]
             if part_.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part_.tobytes()], pa.binary())], ["block", "counts"])
 
@@ -121,10 +119,11 @@ def _cell_counts(training: DataFrame, shared, rounded) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, sums = cm.Lexicon(*shared.value), np.zeros(cm.CELLS, np.int64)
+        first = cm.taken_once(cm.both_rounded(rounded.value))
         for batch in batches:
             for part in slices(batch["text"], SLICE):
                 texts, tokens = cm.tokenise(part, lexicon)
-                sums += np.bincount(cm.cells_of(cm.bits_of(texts, tokens, lexicon), rounded.value), minlength=cm.CELLS)
+                sums += np.bincount(cm.cells_of(cm.bits_of(texts, tokens, lexicon), rounded.value, first), minlength=cm.CELLS)
         met = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(sums[met])], ["cell", "n"])
 
@@ -145,6 +144,8 @@ def _base_scores(docs: DataFrame, words: DataFrame, total: int, distinct: int, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = cm.Lexicon(*shared.value)
+        gains = np.zeros(len(lexicon.counts) + cm.FIRST_WORD)
+        gains[lexicon.rank + cm.FIRST_WORD] = np.log10(lexicon.counts + 1.0)
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in slices(batch["text"]):
@@ -154,10 +155,10 @@ def _base_scores(docs: DataFrame, words: DataFrame, total: int, distinct: int, s
                 number += texts.count
                 word = tokens.end > tokens.start
                 rare = tokens.symbol == cm.ESCAPE
-                place = lexicon.place(tokens.value[word & ~rare])
-                owner = tokens.text[word & ~rare]
+                frequent = word & ~rare
+                owner = tokens.text[frequent]
                 known = np.bincount(owner, minlength=texts.count) + 0
-                gain = np.bincount(owner, np.log10(lexicon.counts[place] + 1.0), texts.count) if len(place) else np.zeros(texts.count)
+                gain = np.bincount(owner, gains[tokens.symbol[frequent]], texts.count) if len(owner) else np.zeros(texts.count)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(row), pa.nulls(texts.count, pa.int64()), pa.array(known), pa.array(gain)], ["text_key", "row", "word", "n", "gain"])
                 order = np.lexsort((tokens.value[rare], tokens.text[rare]))

@@ -110,6 +110,80 @@ def test_slots_equal_a_plain_hash():
     assert cm._slot(code.spread[entry], None, sizes, 0).tolist() == none.tolist()
 
 
+def _plain_slots(texts, lexicon):
+    """(bit, slot of each input) of every bit, from the words of each text one at a time."""
+    most, out = (1 << 64) - 1, []
+    mix = lambda x: int(cm.mix(np.array([x & most], np.uint64))[0])
+    rank = {int(h): int(r) for h, r in zip(lexicon.hashes, lexicon.rank, strict=True)}
+
+    def spread(code, symbol, contexts, salt):
+        for k in range(code.offset[symbol], code.offset[symbol + 1]):
+            node = int(code.node[k]) * 0x9E3779B97F4A7C15
+            slots = [((mix(c + (salt + j << 32)) + node) * 0xD6E8FEB86659FD93 & most) >> 64 - cm.SLOT_BITS for j, c in enumerate(contexts)]
+            out.append((int(code.bit[k]), *(s + j * cm.SLOTS for j, s in enumerate(slots))))
+
+    for text in texts:
+        last, topic = int(cm._START), 0
+        for word in [*(text or "").encode().lower().split(), None]:
+            value = int(cm._END_VALUE) if word is None else int(cm.tokenise(next(slices(pa.array([word.decode()]))), None)[1].value[0])
+            symbol = cm.END if word is None else rank.get(value, cm.ESCAPE - cm.FIRST_WORD) + cm.FIRST_WORD
+            spread(lexicon.words, symbol, (0, last, topic), 0)
+            if symbol == cm.ESCAPE:
+                past, prefix = [0, 0, 0, 0], 0
+                for k, letter in enumerate([*word, cm.CLOSE]):
+                    two, four = past[0] * 257 + past[1], ((past[0] * 257 + past[1]) * 257 + past[2]) * 257 + past[3]
+                    spread(lexicon.bytes, letter, (two + mix(topic), four, prefix), 8)
+                    past, prefix = [letter + 1, *past[:3]], prefix + mix((letter + 1) * 1000 + k) & most
+            last, topic = value, symbol if cm.FIRST_WORD <= symbol < cm.FIRST_WORD + cm.COMMON else topic
+    return out
+
+
+def test_alike_words_are_spread_once_and_every_bit_is_counted(monkeypatch):
+    """Counts of all slots equal those of a plain loop, however texts are held; the work grows with pairs that differ."""
+    texts = [words(k % 3, 9) for k in range(6)] + ["", None, "zz the", "the of zz\tabcdefgh", "É the É", words(1, 9) + " qq " + words(2, 9)]
+    some = next(slices(pa.array([words(1, 9)])))
+    value = np.unique(cm.tokenise(some, None)[1].value[:9])[::2]
+    lexicon = cm.lexicon(value, np.arange(len(value), 0, -1), 5, 4, list(range(256)))
+    plain, expected = _plain_slots(texts, lexicon), np.zeros((2, cm.INPUTS * cm.SLOTS), np.int64)
+    for bit, *slot in plain:
+        expected[bit, slot] += 1
+    parts = [(cm.tokenise(part, lexicon)) for k in range(0, len(texts), 4) for part in slices(pa.array(texts[k:k + 4], pa.string()))]
+    for held in (1, 40, cm.HELD):
+        monkeypatch.setattr(cm, "HELD", held)
+        monkeypatch.setattr(cm, "PIECE", held)
+        tally = cm.Tally(lexicon)
+        for part in parts:
+            tally.add(*part)
+        assert (tally.close() == expected).all()
+    bits = cm.bits_of(*cm.tokenise(next(slices(pa.array(texts))), lexicon), lexicon)
+    slot = [np.concatenate([g.plain[g.slot[k]] if g.plain is not None and not k else g.slot[k] for g in (bits.words, bits.letters)]) + k * cm.SLOTS for k in range(cm.INPUTS)]
+    assert sorted(plain) == sorted(zip(bits.bit.tolist(), *(x.tolist() for x in slot), strict=True))
+    # A text that comes 200 times is not spread 200 times.
+    spread, place = [], cm._place
+    monkeypatch.setattr(cm, "_place", lambda *a: spread.append(len(a[0])) or place(*a))
+    known = cm.tokenise(next(slices(pa.array([words(1, 9)]))), None)[1]
+    lexicon = cm.lexicon(np.unique(known.value[:9]), np.arange(len(np.unique(known.value[:9])), 0, -1), 5, 4, list(range(256)))
+    for times in (1, 200):
+        tally = cm.Tally(lexicon)
+        for part in slices(pa.array([words(1, 9)] * times)):
+            tally.add(*cm.tokenise(part, lexicon))
+        spread.append(-tally.close().sum())
+    met = [-x for x in spread if x < 0]
+    at = spread.index(-met[0])
+    assert met[1] == 200 * met[0] and sum(spread[at + 1:-1]) <= sum(spread[:at])
+
+
+def test_commonest_words_are_found_among_like_hashes():
+    """Words that share the first bits of their hashes, below and above them, and none at all."""
+    rng = np.random.default_rng(8)
+    hashes = np.unique(np.concatenate([rng.integers(0, 1 << 63, 500).astype(np.uint64), np.arange(90, 99, dtype=np.uint64), np.array([(1 << 64) - 1, 1 << 63], np.uint64)]))
+    lexicon = cm.lexicon(hashes, np.arange(len(hashes), 0, -1), 5, 4, [1] * 256)
+    asked = np.concatenate([hashes, hashes - np.uint64(1), hashes + np.uint64(1)])
+    expected = {int(h): k for k, h in enumerate(hashes)}
+    assert lexicon.place(asked).tolist() == [expected.get(int(h), -1) for h in asked]
+    assert cm.lexicon(hashes[:0], np.zeros(0), 5, 4, [1] * 256).place(asked).tolist() == [-1] * len(asked)
+
+
 def test_first_weights_come_from_all_training_texts(spark):
     """Every bit of more texts than any sample took counts, however the rows are dealt; the fit is the most likely one."""
     from tachoflow.llm import lm_scoring
